@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | record index
 
 
@@ -38,6 +40,11 @@ def sequence_index(df: DataFrame, order_cols, partition_cols=(), name: str = "po
     shuffle -> per-(group, task) counts (partial aggregate, at most one row per task and
     group) -> prefix sums over that small table -> equi-join back.  A group holding a
     third of all rows is spread over a third of the tasks.
+
+    The numbered rows are written once to the checkpoint folder before they are read
+    twice (counts and join): range bounds come from sampling, and an input whose row
+    order is not fixed (any shuffle output) could otherwise be partitioned differently
+    by the two reads, or after an executor loss.
     """
     part = _cols(partition_cols)
     order = _cols(order_cols)
@@ -49,6 +56,7 @@ def sequence_index(df: DataFrame, order_cols, partition_cols=(), name: str = "po
                .withColumn("_mid", F.monotonically_increasing_id())
                .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
                .withColumn("_lrn", (F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))))
+    local = cut_lineage(local)
     pn = _names(part)
     counts = local.groupBy(*pn, "_pid").agg(F.count(F.lit(1)).alias("_cnt"),
                                            F.min("_lrn").alias("_first"))
