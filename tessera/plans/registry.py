@@ -30,7 +30,10 @@ def query(name: str, sql: str | None, floats: Sequence[str] = ()):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(spark, sf_dir)
             for c in floats:
-                df = df.withColumn(c, F.round(F.col(c), DIGITS))
+                # round(x * 10^d) / 10^d: the same binary arithmetic as the SQL side's
+                # round(x, d), so exact decimal ties round the same way in both engines
+                scale = float(10 ** DIGITS)
+                df = df.withColumn(c, F.round(F.col(c).cast("double") * scale) / scale)
             return df
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -45,4 +48,4 @@ def query(name: str, sql: str | None, floats: Sequence[str] = ()):
 
 def load_all() -> None:
     """Import every plan module so their decorators run."""
-    from . import retail, cleaning, profile, evaluation  # noqa: F401
+    from . import retail, cleaning, profile, evaluation, timeseries  # noqa: F401
