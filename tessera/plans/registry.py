@@ -48,4 +48,4 @@ def query(name: str, sql: str | None, floats: Sequence[str] = ()):
 
 def load_all() -> None:
     """Import every plan module so their decorators run."""
-    from . import retail, cleaning, profile, evaluation, timeseries  # noqa: F401
+    from . import retail, cleaning, profile, evaluation, timeseries, text  # noqa: F401
