@@ -92,3 +92,31 @@ def truncate_text(x, n: int = 160) -> Column:
 
 def group_key_from_name(name, sep: str = "___") -> Column:
     return F.substring_index(_c(name), sep, 1)
+
+
+def weighted_minmax_score(cols_weights: dict, stats: dict, digits: int = 2) -> Column:
+    """C20: sum_i w_i * (x_i - min_i) / (max_i - min_i) * 100 (range 0 -> term 0), rounded."""
+    s = None
+    for c, w in cols_weights.items():
+        lo, hi = stats[c]
+        term = F.coalesce(F.try_divide(F.col(c) - lo, hi - lo), F.lit(0.0)) * w
+        s = term if s is None else s + term
+    return F.round(s * 100, digits)
+
+
+def points_ladder(x, steps: list[tuple[float, int]]) -> Column:
+    """Points from an ascending ladder of (threshold, points): first threshold the
+    value is below wins; above all -> last points."""
+    xc = _c(x)
+    out = None
+    for thr, pts in steps[:-1]:
+        out = F.when(xc < thr, pts) if out is None else out.when(xc < thr, pts)
+    return out.otherwise(steps[-1][1])
+
+
+def action_lookup(label, conf, actions: dict, default: str, low_conf: float = 0.6,
+                  prefix: str = "Low confidence - verify: ") -> Column:
+    """Action text by predicted class with a default, prefixed below ``low_conf``."""
+    m = F.create_map(*[F.lit(v) for kv in actions.items() for v in kv])
+    act = F.coalesce(F.try_element_at(m, _c(label)), F.lit(default))
+    return F.when(_c(conf) < low_conf, F.concat(F.lit(prefix), act)).otherwise(act)
