@@ -109,10 +109,24 @@ def review_features(text) -> dict[str, Column]:
     }
 
 
+def clean_tokens_raw(text, strip_redactions: bool = True) -> Column:
+    """T4 first half: lower -> strip URLs -> strip HTML tags -> strip ``xx..``
+    redactions -> non a-z to space -> whitespace tokens (stop words still in)."""
+    t = F.lower(F.coalesce(_c(text), F.lit("")))
+    t = F.regexp_replace(t, r"(https?://\S+|www\.\S+)", " ")
+    t = F.regexp_replace(t, r"<[^>]+>", " ")
+    if strip_redactions:
+        t = F.regexp_replace(t, r"x{2,}", " ")
+    t = F.regexp_replace(t, r"[^a-z\s]", " ")
+    return F.split(F.trim(t), r"\s+")
+
+
 def clean_text(text, stop_words: Sequence[str] = STOP_WORDS_EN, min_len: int = 3,
                strip_redactions: bool = True) -> Column:
     """T4: lower -> strip URLs -> strip HTML tags -> strip ``xx..`` redactions -> non
-    a-z to space -> tokens of at least ``min_len`` chars not in ``stop_words``."""
+    a-z to space -> tokens of at least ``min_len`` chars not in ``stop_words``.
+    Column form (usable on streams); DataFrame pipelines use ``clean_tokens`` which
+    removes stop words with the JVM ``StopWordsRemover``."""
     t = F.lower(F.coalesce(_c(text), F.lit("")))
     t = F.regexp_replace(t, r"(https?://\S+|www\.\S+)", " ")
     t = F.regexp_replace(t, r"<[^>]+>", " ")
@@ -124,6 +138,15 @@ def clean_text(text, stop_words: Sequence[str] = STOP_WORDS_EN, min_len: int = 3
     return F.filter(toks, lambda w: (F.length(w) >= min_len) & ~F.array_contains(sw, w))
 
 
+def clean_tokens(df, text: str, out: str, stop_words: Sequence[str] = STOP_WORDS_EN, min_len: int = 3):
+    """T4 on a DataFrame: raw cleaned tokens, stop words removed by ``StopWordsRemover``
+    (hash lookups), then tokens shorter than ``min_len`` dropped."""
+    from pyspark.ml.feature import StopWordsRemover
+    d = df.withColumn("_ct_raw", clean_tokens_raw(text))
+    d = StopWordsRemover(inputCol="_ct_raw", outputCol="_ct_sw", stopWords=list(stop_words)).transform(d)
+    return d.withColumn(out, F.filter("_ct_sw", lambda w: F.length(w) >= min_len)).drop("_ct_raw", "_ct_sw")
+
+
 def sentiment_stop_words() -> list[str]:
     """T5: stop words minus negations."""
     keep = set(NEGATIONS_KEEP)

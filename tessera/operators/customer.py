@@ -66,7 +66,7 @@ def rfm_scores(feats: DataFrame, customer: str = "customer_id", q: int = 5) -> D
 
     The customer table is materialised once: three ranking passes read it."""
     f = qcut(materialize(feats), "recency", q, "r_score", labels=list(range(q, 0, -1)))
-    f = materialize(qcut_first_rank(f, "frequency", [customer], q, "f_score", labels=list(range(1, q + 1))))
+    f = qcut_first_rank(f, "frequency", [customer], q, "f_score", labels=list(range(1, q + 1)))
     f = qcut_first_rank(f, "monetary", [customer], q, "m_score", labels=list(range(1, q + 1)))
     return (f.withColumn("rfm_sum", F.col("r_score") + F.col("f_score") + F.col("m_score"))
              .withColumn("rfm_segment", rfm_label("r_score", "f_score", "m_score")))

@@ -6,10 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# unique (or near-unique) key per table: used to spread under-split scans
+KEYS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+        "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id",
+        "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id"}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read ``{sf_dir}/{name}.parquet``; projecting here keeps the scan's ReadSchema narrow."""
+    """Read ``{sf_dir}/{name}.parquet``; projecting here keeps the scan's ReadSchema narrow.
+
+    Scan parallelism is bounded by Parquet row groups.  When a table yields fewer
+    splits than the session's default parallelism (e.g. one large row group), the
+    projected columns are hash-partitioned on the table key so that CPU-heavy row work
+    (regexes, tokenising, explode) does not run in a single task.  With many files or
+    row groups (the normal case at scale) the scan is left as it is.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread(df, KEYS.get(name))
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if key is None or target <= 1:
+        return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    cols = [key] if key in df.columns else df.columns
+    return df.repartition(target, *cols)
