@@ -224,3 +224,52 @@ def test_band_rules(spark):
     df = spark.createDataFrame([(0.05,), (0.3,), (0.99,)], "p double")
     out = df.select(rules.band("p", [(0, 0.1, "Low"), (0.1, 0.5, "Medium"), (0.5, 1.0, "High")]).alias("b")).collect()
     assert [r.b for r in out] == ["Low", "Medium", "High"]
+
+
+def test_knn_exact_against_brute_force(spark):
+    import math
+    import random
+    from tessera.operators import knn as kn
+    rnd = random.Random(3)
+    pts = [(i, [rnd.gauss(0, 1) for _ in range(3)]) for i in range(120)] + [(200 + i, [4.0, 4.0, 4.0]) for i in range(4)]
+    df = spark.createDataFrame(pts, "id long, v array<double>")
+    got = {}
+    for r in kn.knn(df, df, "id", "v", 3, w0=0.05, max_levels=3).collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbour))
+    for i, v in pts:
+        exp = [j for _, j in sorted((math.dist(v, w), j) for j, w in pts if j != i)[:3]]
+        assert [n for _, n in sorted(got[i])] == exp
+
+
+def test_dbscan_against_brute_force(spark):
+    import math
+    import random
+    from tessera.operators import knn as kn
+    rnd = random.Random(5)
+    pts = ([(i, [rnd.gauss(0, 0.2), rnd.gauss(0, 0.2)]) for i in range(40)]
+           + [(100 + i, [3 + rnd.gauss(0, 0.2), 3 + rnd.gauss(0, 0.2)]) for i in range(40)]
+           + [(300, [10.0, -10.0])])
+    df = spark.createDataFrame(pts, "id long, v array<double>")
+    eps, ms = 0.3, 4
+    out = {r.id: r.cluster for r in kn.dbscan(df, "id", "v", eps, ms).collect()}
+    nbrs = {i: [j for j, w in pts if math.dist(v, w) <= eps] for i, v in pts}
+    core = {i for i in nbrs if len(nbrs[i]) >= ms}
+    comp = {}
+    for c in sorted(core):  # connected components of core points, labelled by min id
+        if c in comp:
+            continue
+        stack, seen = [c], {c}
+        while stack:
+            x = stack.pop()
+            for y in nbrs[x]:
+                if y in core and y not in seen:
+                    seen.add(y)
+                    stack.append(y)
+        for x in seen:
+            comp[x] = min(seen)
+    for i in nbrs:
+        if i in core:
+            assert out[i] == comp[i]
+        else:
+            labels = [comp[j] for j in nbrs[i] if j in core]
+            assert out[i] == (min(labels) if labels else -1)
