@@ -101,6 +101,14 @@ def greedy_unique_names(profile_rows: list[dict], dims: dict[str, tuple[str, str
     return names
 
 
+def sample_param_grid(grid: list, n: int, seed: int = 42) -> list:
+    """K9: a seeded random subset of a ``ParamGridBuilder`` grid (random search); the
+    grid is a small driver-side list of parameter maps."""
+    import random
+    idx = sorted(random.Random(seed).sample(range(len(grid)), min(n, len(grid))))
+    return [grid[i] for i in idx]
+
+
 def fold_column(df: DataFrame, label: str | None, key: str, k: int, seed: int = 42) -> DataFrame:
     """Stratified fold ids from a seeded hash order (I2) for ``CrossValidator(foldCol)``."""
     d = df.withColumn("_h", stable_hash(seed, key))
