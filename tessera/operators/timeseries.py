@@ -251,6 +251,26 @@ def pacf_from_acf(r: Sequence[float]) -> list[float]:
     return out
 
 
+def pacf(acf_table: DataFrame, series, lag: str = "lag", acf_col: str = "acf") -> DataFrame:
+    """PACF per series from its ACF rows with ``groupBy(series).applyInPandas``: each
+    group holds only nlags + 1 numbers, so the recursion runs inside the tasks and
+    nothing proportional to the number of series reaches the driver."""
+    s = _names(series)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in acf_table.schema.fields if f.name in s)
+    schema = (schema + ", " if schema else "") + f"{lag} int, pacf double"
+
+    def per_series(pdf):
+        import pandas as pd
+        pdf = pdf.sort_values(lag)
+        vals = pacf_from_acf([float(x) for x in pdf[acf_col]])
+        out = pd.DataFrame({lag: pdf[lag].astype("int32").values, "pacf": vals})
+        for c in s:
+            out.insert(0, c, pdf[c].iloc[0])
+        return out
+
+    return acf_table.select(*s, lag, acf_col).groupBy(*s).applyInPandas(per_series, schema)
+
+
 def chrono_split(df: DataFrame, series, ts: str, fracs: Sequence[float] = (0.7, 0.15),
                  names: Sequence[str] = ("train", "val", "test"), tiebreak: Sequence[str] = ()) -> DataFrame:
     """chronological split by row fraction with ``int()`` truncation of the

@@ -135,17 +135,9 @@ def hourly_acf(spark, sf):
 
 @query("hourly_pacf", None)
 def hourly_pacf(spark, sf):
-    """PACF by Durbin-Levinson over the (bounded) ACF list of each series."""
-    a = hourly_acf(spark, sf)
-    rows = a.select("event_type", "lag", "acf").collect()  # 25 numbers per series
-    by: dict = {}
-    for r in rows:
-        by.setdefault(r["event_type"], {})[r["lag"]] = r["acf"]
-    out = []
-    for et, m in by.items():
-        p = ts.pacf_from_acf([m[k] for k in sorted(m)])
-        out += [(et, k, float(v)) for k, v in enumerate(p)]
-    return spark.createDataFrame(out, "event_type string, lag int, pacf double")
+    """PACF (Yule-Walker, Durbin-Levinson) per series from its ACF, computed per
+    series inside the tasks (grouped pandas over nlags + 1 numbers)."""
+    return ts.pacf(hourly_acf(spark, sf).withColumn("lag", F.col("lag").cast("int")), "event_type")
 
 
 @query("hourly_windows", f"""

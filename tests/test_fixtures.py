@@ -273,3 +273,10 @@ def test_dbscan_against_brute_force(spark):
         else:
             labels = [comp[j] for j in nbrs[i] if j in core]
             assert out[i] == (min(labels) if labels else -1)
+
+
+def test_pacf_of_ar1_acf():
+    from tessera.operators.timeseries import pacf_from_acf
+    phi = 0.6
+    p = pacf_from_acf([phi ** k for k in range(6)])
+    assert abs(p[1] - phi) < 1e-12 and all(abs(x) < 1e-12 for x in p[2:])
