@@ -192,3 +192,26 @@ def inferred_csv_scan(spark, sf):
     n_types = strings.select(F.count_distinct("p_type")).scalar()
     return inferred.agg(F.count(F.lit(1)).alias("n"), F.sum("p_size").cast("long").alias("total_size")) \
                    .withColumn("types", n_types)
+
+
+@query("one_hot_alignment", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 0 THEN o_orderpriority || '-X' ELSE o_orderpriority END AS cat,
+                  CASE WHEN o_orderkey % 4 = 0 THEN 'test' ELSE 'train' END AS split FROM orders),
+v AS (SELECT cat, CAST(row_number() OVER (ORDER BY cat) - 1 AS INTEGER) AS slot FROM (SELECT DISTINCT cat FROM o WHERE split = 'train')),
+t AS (SELECT coalesce(v.slot, (SELECT count(*) FROM v)) AS slot FROM o LEFT JOIN v USING (cat) WHERE split = 'test')
+SELECT CAST(slot AS INTEGER) AS slot, count(*) AS n FROM t GROUP BY slot""")
+def one_hot_alignment(spark, sf):
+    """H2 + J1: one-hot encoder fitted on the train rows only (alphabetical slots);
+    test rows are aligned to the train columns, unseen categories fall into the extra
+    "keep" slot; count of test rows per active slot."""
+    from pyspark.ml.functions import vector_to_array
+    from ..operators.ml import column_transformer
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_orderpriority", "o_totalprice")
+    o = o.select("o_orderkey", "o_totalprice",
+                 F.when(F.col("o_orderkey") % 8 == 0, F.concat("o_orderpriority", F.lit("-X")))
+                  .otherwise(F.col("o_orderpriority")).alias("cat"),
+                 F.when(F.col("o_orderkey") % 4 == 0, "test").otherwise("train").alias("split"))
+    model = column_transformer(["cat"], ["o_totalprice"], scale=None).fit(o.filter(F.col("split") == "train"))
+    t = model.transform(o.filter(F.col("split") == "test"))
+    e = t.select(F.posexplode(vector_to_array("cat__ohe")).alias("slot", "v")).filter(F.col("v") == 1.0)
+    return e.groupBy(F.col("slot").cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
