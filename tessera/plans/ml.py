@@ -138,7 +138,16 @@ def ml_kmeans_segments(spark, sf):
     prof = ml.name_clusters_by_rank(prof.withColumn("_r", -F.col("mean_balance")), "cluster", "_r", "mean_orders",
                                     "mean_spend", ["Champions", "Loyal", "Potential", "At risk"]).drop("_r")
     inertia = {r["k"]: (r["inertia"], r["silhouette"]) for r in search}
-    return prof.withColumn("inertia_k4", F.lit(inertia[4][0])).withColumn("silhouette_k4", F.lit(inertia[4][1]))
+    # Greedy unique names from the most extreme standardised dimension (k rows)
+    zcols = {"mean_orders": ("Frequent", "Infrequent"), "mean_spend": ("Big spenders", "Small spenders"),
+             "mean_balance": ("Cash rich", "Indebted")}
+    st = prof.agg(*[F.avg(c).alias(f"m_{c}") for c in zcols], *[F.stddev_pop(c).alias(f"s_{c}") for c in zcols]).first()
+    rows = [{"cluster": r["cluster"], **{c: (r[c] - st[f"m_{c}"]) / (st[f"s_{c}"] or 1.0) for c in zcols}}
+            for r in prof.select("cluster", *zcols).collect()]  # k rows
+    names = ml.greedy_unique_names(rows, zcols, "Typical")
+    nm = spark.createDataFrame(list(names.items()), "cluster int, greedy_name string")
+    return (prof.join(F.broadcast(nm), "cluster", "left")
+                .withColumn("inertia_k4", F.lit(inertia[4][0])).withColumn("silhouette_k4", F.lit(inertia[4][1])))
 
 
 @query("ml_pca_variance", None)
