@@ -6,8 +6,10 @@ sums of doubles in a different order differ in the last bits, so values are snap
 to single precision after scaling by an irrational constant (``SNAP``) and scaled
 back.  Decimal rounding would split exact decimal ties (frequent with money and
 percent data), plain float32 snapping splits exact dyadic ties (.5, .25, .1875, ...);
-after the irrational scaling neither structure survives.  Other columns compare exactly.  ``sql=None`` registers a query without an oracle (rows-only check);
-such queries are checked against brute force on small fixtures in ``tests/``.
+after the irrational scaling neither structure survives.  Other columns compare exactly.
+
+``sql=None`` registers a query without an oracle (rows-only check); such queries are
+checked against brute force on small fixtures in ``tests/``.
 """
 from __future__ import annotations
 
@@ -16,7 +18,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DIGITS = 6
 SNAP = 0.7853981633974483  # pi / 4
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
