@@ -125,7 +125,7 @@ sim AS (SELECT u, v, inter / sqrt(sa.size * sb.size) AS sim FROM ov JOIN sz sa O
 nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY sim DESC, v) AS nrank FROM sim) WHERE nrank <= {k}),
 cand AS (SELECT nb.u AS "user", i.item, round(sum(nb.sim), 9) AS score FROM nb JOIN {ui} i ON i."user" = nb.v GROUP BY ALL),
 c2 AS (SELECT * FROM cand WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM {owned} o WHERE o."user" = cand."user" AND o.item = cand.item)),
-rec AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM c2) WHERE rank <= {n})"""
+rec AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS INTEGER) AS rank FROM c2) WHERE rank <= {n})"""
 
 
 @query("user_knn_recommendations", f"""
@@ -143,7 +143,7 @@ pop AS (SELECT item FROM isz ORDER BY size DESC, item LIMIT 10),
 co AS (SELECT q.item AS q, o.item, count(*) AS inter FROM ui q JOIN ui o ON q."user" = o."user" AND o.item <> q.item
        WHERE q.item IN (SELECT item FROM pop) GROUP BY ALL),
 s AS (SELECT q, co.item, inter / sqrt(a.size * b.size) AS sim FROM co JOIN isz a ON a.item = q JOIN isz b ON b.item = co.item)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, item) AS rank FROM s) WHERE rank <= 5""",
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY sim DESC, item) AS INTEGER) AS rank FROM s) WHERE rank <= 5""",
        floats=("sim",))
 def item_also_bought(spark, sf):
     """Cosine item-item neighbours (top 5) of the 10 most popular parts."""
@@ -197,7 +197,7 @@ def brand_baskets_df(spark, sf):
 
 @query("brand_baskets", f"""
 WITH {BASKET_SQL}
-SELECT l_orderkey, array_to_string(items, ',') AS items, len(items) AS n_items FROM bk""")
+SELECT l_orderkey, array_to_string(items, ',') AS items, CAST(len(items) AS INTEGER) AS n_items FROM bk""")
 def brand_baskets(spark, sf):
     """Brand baskets per order (top-20 brands, positive quantity, >= 2 brands)."""
     b = brand_baskets_df(spark, sf)
@@ -339,7 +339,7 @@ def rle_runs(spark, sf):
 
 @query("rle_severity", f"""
 WITH {RUNS_SQL},
-a AS (SELECT user_id, list_sum([CAST(x AS BIGINT) for x in list_filter(string_split(rle, ' '), lambda x, i: i % 2 = 0)]) AS area FROM rle),
+a AS (SELECT user_id, CAST(list_sum([CAST(x AS BIGINT) for x in list_filter(string_split(rle, ' '), lambda x, i: i % 2 = 0)]) AS BIGINT) AS area FROM rle),
 p AS (SELECT user_id, area, round(least(area * 100.0 / 720, 100.0), 4) AS pct FROM a)
 SELECT user_id, area, pct, CASE WHEN area = 0 THEN 'None' WHEN pct < 2 THEN 'Minor' WHEN pct < 5 THEN 'Moderate' ELSE 'Severe' END AS severity,
   CASE WHEN area = 0 THEN 'Accept' WHEN pct < 2 THEN 'Accept' WHEN pct < 5 THEN 'Rework' ELSE 'Reject' END AS decision FROM p""",

@@ -26,8 +26,8 @@ CURVE_SQL = SCORED_SQL + """,
 g AS (SELECT score AS threshold, CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg
       FROM s GROUP BY score),
 t AS (SELECT threshold, pos, neg, row_number() OVER (ORDER BY threshold DESC) AS rank,
-             sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,
-             sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+             CAST(sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp,
              sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM g),
 pr AS (SELECT *, tp / (tp + fp) AS precision, tp / P AS recall FROM t)"""
 

@@ -179,7 +179,7 @@ def split_disjointness(spark, sf):
 
 
 @query("inferred_csv_scan", """
-SELECT count(*) AS n, sum(p_size) AS total_size, count(DISTINCT p_type) AS types FROM part""")
+SELECT count(*) AS n, CAST(sum(p_size) AS BIGINT) AS total_size, count(DISTINCT p_type) AS types FROM part""")
 def inferred_csv_scan(spark, sf):
     """A2 + A3 + A4: parts exported with a leading unnamed index column, read back with
     an inferred schema (index dropped) and as an all-string, column-pruned scan."""
@@ -215,3 +215,20 @@ def one_hot_alignment(spark, sf):
     t = model.transform(o.filter(F.col("split") == "test"))
     e = t.select(F.posexplode(vector_to_array("cat__ohe")).alias("slot", "v")).filter(F.col("v") == 1.0)
     return e.groupBy(F.col("slot").cast("int").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("tab_line_parse", r"""
+SELECT role AS label, count(*) AS n, CAST(sum(length(regexp_replace(text, '[\r\n\t]', ' ', 'g'))) AS BIGINT) AS chars
+FROM conversations GROUP BY role""")
+def tab_line_parse(spark, sf):
+    """Conversation turns written as "label<TAB>text" lines together with tab-less
+    lines (benchmark passages, which must be skipped), read back and parsed."""
+    c = read_table(spark, sf, "conversations", "role", "text")
+    b = read_table(spark, sf, "benchmark", "text")
+    clean = lambda col: F.regexp_replace(col, r"[\r\n\t]", " ")
+    lines = c.select(F.concat("role", F.lit("\t"), clean(F.col("text"))).alias("value")) \
+             .unionByName(b.select(clean(F.col("text")).alias("value")))
+    path = fs.scratch_path(spark, "tab-lines")
+    lines.write.text(path)
+    p = fs.parse_tab_lines(spark.read.text(path))
+    return p.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).cast("long").alias("chars"))

@@ -34,7 +34,7 @@ def quality_rate_by_lang(spark, sf):
 
 
 @query("return_share_by_year", """
-SELECT year(l_shipdate) AS ship_year, count(*) AS n,
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS n,
        avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) * 100 AS share
 FROM lineitem GROUP BY 1""", floats=("share",))
 def return_share_by_year(spark, sf):
@@ -296,7 +296,7 @@ def embedding_position_means(spark, sf):
 
 
 @query("lang_source_frequency", """
-SELECT lang, source, count(*) AS n, sum(n_chars) AS n_chars,
+SELECT lang, source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS n_chars,
        sum(n_chars) * 1.0 / (SELECT sum(n_chars) FROM documents) AS share
 FROM documents GROUP BY lang, source""", floats=("share",))
 def lang_source_frequency(spark, sf):

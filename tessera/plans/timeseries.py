@@ -264,8 +264,8 @@ def clv_calibration(spark, sf):
 WITH r AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
 d AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM r)
 SELECT strftime(date, '%Y-%m-%d') AS date, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key,
-       year(date) AS year, month(date) AS month, strftime(date, '%B') AS month_name,
-       quarter(date) AS quarter, CAST(isodow(date) - 1 AS INTEGER) AS weekday FROM d""")
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, strftime(date, '%B') AS month_name,
+       CAST(quarter(date) AS INTEGER) AS quarter, CAST(isodow(date) - 1 AS INTEGER) AS weekday FROM d""")
 def date_dimension(spark, sf):
     """date dimension from the first to the last order date."""
     o = read_table(spark, sf, "orders", "o_orderdate")
