@@ -2,16 +2,23 @@
 whole table with production parameters and derive the contract's columns from its output."""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, urlfilter
+from . import chat, ctw, decontam, packing, quality, secrets, urlfilter, warc
 from .shared import table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabularies() -> tuple[str, str, str]:
+    """Byte-level ranks, their split pattern, and the SentencePiece model."""
+    return (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -65,3 +72,66 @@ def op8_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host rules first, mined association rules for every other url."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return urlfilter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "n_rules")
+
+
+@query("op9_tokeniser_fertility_rules")
+def op9_tokeniser_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, fertility measures and the verdict for every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return quality.quality_rules(docs, *vocabularies())
+
+
+@query("op10_cost_balanced_packing")
+def op10_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+@query("op6_suffix_automaton_decontamination")
+def op6_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document, and the contamination verdict."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = decontam.match_benchmark(docs, items)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        decontam.contaminated().alias("contaminated"))
+
+
+@query("op2_markov_secret_scan")
+def op2_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and modelled secret spans of every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *[count(k) for k in secrets.KINDS],
+                        F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
+                        secrets.spans_text(F.col("spans")).alias("spans"))
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op5_warc_normaliser", OP5_SQL)
+def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through monolithic files, the normaliser and its index, read back."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    files, folder = warc.archive(pages)
+    back = warc.read_records(files, folder, with_payload=False)
+    kind = dict(pages.dtypes)["page_id"]
+    return back.select(warc.page_key(F.col("page_id"), kind).alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", warc.page_key(F.col("refers_to"), kind).alias("refers_to"))
+
+
+@query("op1_context_tree_weighting")
+def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree score and word-count base score of every document."""
+    return ctw.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
