@@ -7,7 +7,8 @@ Its Krichevsky-Trofimov estimate is mixed with its children's, with weight one h
     Pw(node) = (Pe(node) + product of Pw(children)) / 2
 
 so a prediction mixes the estimates of all depths on the context's path by their posterior
-weights.  A text is its A-Z-lowered UTF-8 bytes and one end symbol (0xFF, no UTF-8 byte), which
+weights.  The path ends at the deepest node that training reached (below it there is
+nothing to weigh).  A text is its A-Z-lowered UTF-8 bytes and one end symbol (0xFF, no UTF-8 byte), which
 also stands for the context before the text; scores are log10 probabilities of the whole
 text under the model trained on the training documents alone.
 
@@ -243,14 +244,17 @@ def top_sums(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def top_tables(keys: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Dense ``(own weight, KT estimate)`` tables for depth one (65,536) and nought (256)."""
-    tables = np.full((2, 65536), 0.5), np.full((2, 256), 0.5)
+    """Dense ``(own weight, KT estimate, seen)`` tables for depth one (65,536) and nought (256)."""
+    tables = np.full((3, 65536), 0.5), np.full((3, 256), 0.5)
+    for table in tables:
+        table[2] = 0
     if len(keys):
         one = Level(keys, sums[0], sums[1], sums[2])
         none, _ = climb(one, 0)
         for table, level in zip(tables, (one, none)):
             table[0, level.keys.astype(np.int64)] = level.own
             table[1, level.keys.astype(np.int64)] = level.kt
+            table[2, level.keys.astype(np.int64)] = level.n0 + level.n1
     return tables
 
 
@@ -260,14 +264,19 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, top: tuple[np.ndarr
     for bit in range(8):
         value, of, levels, links = bit_levels(grams, counts, bit)
         p = levels[0].kt
+        seen = levels[0].n0 + levels[0].n1 > 0
         at = np.arange(len(p))
         for level, link in zip(levels[1:], links):
             at = link[at]
-            p = level.own[at] * level.kt[at] + (1 - level.own[at]) * p
+            own = np.where(seen, level.own[at], 1.0)  # an unseen child has no say
+            p = own * level.kt[at] + (1 - own) * p
+            seen = (level.n0 + level.n1 > 0)[at]
         keys = levels[0].keys
         node, last = (keys & _U(0xFF)).astype(np.int64), ((keys >> _U(8)) & _U(0xFF)).astype(np.int64)
         for table, index in ((top[0], last << 8 | node), (top[1], node)):
-            p = table[0, index] * table[1, index] + (1 - table[0, index]) * p
+            own = np.where(seen, table[0, index], 1.0)
+            p = own * table[1, index] + (1 - own) * p
+            seen = table[2, index] > 0
         p = p[of]
         out += np.log10(np.where(value == 1, p, 1 - p))
     return out

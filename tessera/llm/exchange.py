@@ -125,3 +125,124 @@ def merge_counts(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
 
 def crc_of(key: str) -> int:
     return zlib.crc32(key.encode())
+
+
+PAYLOADS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("payload", pa.binary())])
+PAYLOADS_DDL = "block long, part int, payload binary"
+
+
+def text_blocks(docs: DataFrame, text: str, name: str, limit: int = BLOCK_BYTES) -> DataFrame:
+    """Documents packed into numbered blocks (``block, payload``), stored."""
+    from .shared import stored
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, rows in blocks(batches, text, limit):
+            yield to_batch([(number, -1, pack_rows(rows))], PAYLOADS)
+
+    return stored(docs.mapInArrow(run, PAYLOADS_DDL), name)
+
+
+def power_of_two_parts(df: DataFrame, least: int = 64) -> int:
+    n = least
+    while n < 2 * df.rdd.getNumPartitions():
+        n *= 2
+    return n
+
+
+class Fingerprints:
+    """Sorted distinct fingerprints of one block: ``bits`` leading bits of 64-bit hashes, whose
+    first ones name the part."""
+
+    def __init__(self, hashes: np.ndarray, n_parts: int, bits: int):
+        self.order = np.argsort(hashes, kind="stable")
+        keys = hashes[self.order] >> np.uint64(64 - bits)
+        fresh = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+        self.slot = np.cumsum(fresh) - 1
+        first = np.flatnonzero(fresh)
+        self.keys = keys[first]
+        self.again = np.diff(np.append(first, len(keys))) > 1
+        limits = np.arange(n_parts, dtype=np.uint64) << np.uint64(bits - (n_parts.bit_length() - 1))
+        self.cuts = np.append(np.searchsorted(self.keys, limits), len(self.keys))
+
+    def requests(self, block: int) -> list[tuple]:
+        return [(block, p, squeeze(self.keys[a:b], True), np.packbits(self.again[a:b]).tobytes())
+                for p, (a, b) in enumerate(zip(self.cuts[:-1].tolist(), self.cuts[1:].tolist())) if b > a]
+
+    def spread(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
+        """Per hash: the answer of its fingerprint."""
+        said = np.zeros(len(self.keys), dtype=bool)
+        for p, raw in answers:
+            a, b = self.cuts[p], self.cuts[p + 1]
+            said[a:b] = np.unpackbits(np.frombuffer(raw, np.uint8), count=b - a).astype(bool)
+        out = np.zeros(len(self.order), dtype=bool)
+        out[self.order] = said[self.slot]
+        return out
+
+
+REQUESTS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("payload", pa.binary()), ("again", pa.binary())])
+
+
+def repeated_keys(blocks_df: DataFrame, fingerprints: Callable[[bytes], Fingerprints]) -> DataFrame:
+    """Which fingerprints of each block occur more than once in the corpus: ``block, part,
+    payload`` (bits in the order of the block's fingerprints of that part).
+
+    A part is sorted on its own (one bucket at a time).  It holds its requests compressed
+    until all have come, then answers them; the number of parts follows the input, so that
+    bounds a task's memory.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = fingerprints(raw.as_py()).requests(block)
+                if rows:
+                    yield to_batch(rows, REQUESTS)
+
+    def answered(part: int, held: list[tuple[int, bytes, bytes]]) -> Iterator[tuple]:
+        every, again = [], []
+        for _, raw, flags in held:
+            keys = unsqueeze(raw)
+            every.append(keys)
+            again.append(keys[np.unpackbits(np.frombuffer(flags, np.uint8), count=len(keys)).astype(bool)])
+        keys = np.sort(np.concatenate(every + again))  # a key that a block holds twice counts twice
+        twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
+        del keys
+        for (block, _, _), mine in zip(held, every):
+            at = np.searchsorted(twice, mine)
+            at[at == len(twice)] = 0
+            said = twice[at] == mine if len(twice) else np.zeros(len(mine), bool)
+            yield block, part, np.packbits(said).tobytes()
+
+    def run(rows: Iterator[dict]) -> Iterator[tuple]:
+        at, held = None, []
+        for row in rows:
+            if row["part"] != at:
+                if held:
+                    yield from answered(at, held)
+                at, held = row["part"], []
+            held.append((row["block"], row["payload"], row["again"]))
+        if held:
+            yield from answered(at, held)
+
+    asked = blocks_df.select("block", "payload").mapInArrow(ask, PAYLOADS_DDL + ", again binary")
+    return streamed(asked, ["part"], ["part", "block"], run, PAYLOADS_DDL, PAYLOADS)
+
+
+def with_answers(blocks_df: DataFrame, answers: DataFrame, fn: Callable[[int, bytes, list], Iterator[tuple]],
+                 ddl: str, schema: pa.Schema, rows_per_batch: int = 64) -> DataFrame:
+    """Bring each block and its answers together and map them through ``fn``."""
+
+    def run(rows: Iterator[dict]) -> Iterator[tuple]:
+        at, payload, held = None, b"", []
+        for row in rows:
+            if row["part"] < 0:  # the block itself comes first
+                if at is not None:
+                    yield from fn(at, payload, held)
+                at, payload, held = row["block"], row["payload"], []
+            else:
+                held.append((row["part"], row["payload"]))
+        if at is not None:
+            yield from fn(at, payload, held)
+
+    both = blocks_df.select("block", "part", "payload").unionByName(answers)
+    return streamed(both, ["block"], ["block", "part"], run, ddl, schema, rows_per_batch)

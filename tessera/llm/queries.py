@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, packing, quality, secrets, urlfilter, warc
+from . import chat, ctw, decontam, packing, quality, secrets, suffixdedup, urlfilter, warc
 from .shared import table
 
 QUERIES: dict = {}
@@ -135,3 +135,9 @@ def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context-tree score and word-count base score of every document."""
     return ctw.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op3_difference_cover_dedup")
+def op3_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in repeated 400-byte strings, removed."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
