@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, packing, quality, secrets, suffixdedup, urlfilter, warc
+from . import chat, ctw, decontam, neardup, packing, quality, secrets, suffixdedup, urlfilter, warc
 from .shared import table
 
 QUERIES: dict = {}
@@ -141,3 +141,9 @@ def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in repeated 400-byte strings, removed."""
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op4_chosen_path_near_duplicates")
+def op4_chosen_path_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by two-word shingles at similarity 0.8 or more."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
