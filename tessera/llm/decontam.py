@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packing import _arrow_type
-from .shared import stored
+from .shared import stored, with_extra
 from .textbuf import ALNUM, RangeHasher, TextBuf, doc_of, mix64, slices
 
 WINDOW = 13
@@ -261,9 +260,7 @@ def _match(docs: DataFrame, automaton: SuffixAutomaton, key: str, text: str, kee
     carried = [key, *[c for c in keep_columns if c != key]]
     cols = list(dict.fromkeys([*carried, text]))
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(automaton))  # at most block_words words
-    schema = pa.schema([pa.field(c, _arrow_type(docs, c)) for c in carried]
-                       + [pa.field("n_words", pa.int64()), pa.field("spans", pa.list_(SPAN)),
-                          pa.field("n_hit", pa.int64()), pa.field("items", pa.list_(pa.string()))])
+    names_out = [*carried, "n_words", "spans", "n_hit", "items"]
     types = dict(docs.dtypes)
     ddl = ", ".join([f"`{c}` {types[c]}" for c in carried]
                     + ["n_words long", "spans array<struct<word_start:long,word_end:long,start:long,end:long>>",
@@ -294,7 +291,7 @@ def _match(docs: DataFrame, automaton: SuffixAutomaton, key: str, text: str, kee
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index(c)) for c in carried]
                     + [pa.array(np.diff(firsts), pa.int64()), pa.array(spans, pa.list_(SPAN)),
-                       pa.array(hit, pa.int64()), pa.array(names, pa.list_(pa.string()))], schema=schema)
+                       pa.array(hit, pa.int64()), pa.array(names, pa.list_(pa.string()))], names=names_out)
 
     return docs.select(*cols).mapInArrow(run, ddl)
 
@@ -303,9 +300,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
                   min_share: int = 20, **kw) -> DataFrame:
     """Documents (all columns) without the contaminated ones: those with a hit and at least
     one word in ``min_share`` hit.  The others are left as they are."""
-    found = match_benchmark(docs, items, key, text, keep_columns=tuple(docs.columns), **kw)
-    bad = contaminated(min_share)
-    return found.where(~bad).select(*docs.columns)
+    packed, keep, restore = with_extra(docs, (key, text))
+    found = match_benchmark(packed, items, key, text, keep_columns=keep, **kw)
+    return restore(found.where(~contaminated(min_share)))
 
 
 def contaminated(min_share: int = 20):
@@ -315,7 +312,8 @@ def contaminated(min_share: int = 20):
 def remove_spans(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                  min_words: int = WINDOW, **kw) -> DataFrame:
     """Documents with every hit span of at least ``min_words`` words cut out of ``text``."""
-    found = match_benchmark(docs, items, key, text, keep_columns=tuple(docs.columns), **kw)
+    packed, keep, restore = with_extra(docs, (key, text))
+    found = match_benchmark(packed, items, key, text, keep_columns=keep, **kw)
     cut = F.aggregate(
         F.filter("spans", lambda s: s["word_end"] - s["word_start"] >= min_words),
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
@@ -323,5 +321,5 @@ def remove_spans(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
                                                           (s["start"] - a["at"]).cast("int"))).alias("out"),
                               s["end"].alias("at")),
         lambda a: F.concat(a["out"], F.substr(F.col(text), (a["at"] + 1).cast("int"))))
-    return found.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(F.col(text))).select(*docs.columns)
+    return restore(found.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(F.col(text))))
 

@@ -342,3 +342,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
+    """The documents (all columns) without those that are not the smallest id of their group.
+    Rows that share an id stay or go together; rows with a null id stay."""
+    gone = near_duplicates(docs, key, text, **kw).where("not kept").select(key).distinct()
+    return docs.join(gone, key, "left_anti").select(*docs.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packing import _arrow_type
+from .shared import with_extra
 from .textbuf import NOT_SPACE, TextBuf, doc_of, mix64, segment_sums, slices
 from .wordtok import piece_tokenizer, rank_tokenizer, word_hashes
 
@@ -104,7 +104,7 @@ def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path
     carried = [c for c in cols if c == key or c in keep_columns]
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     measures = ["chars_per_token", "fallback_share", "token_entropy"]
-    schema = pa.schema([pa.field(c, _arrow_type(docs, c)) for c in carried]
+    schema = pa.schema([pa.field(c, pa.null()) for c in carried]
                        + [pa.field(c, pa.int64()) for c in counts] + [pa.field("base_failed", pa.bool_())]
                        + [pa.field(c, pa.float64()) for c in measures] + [pa.field("kept", pa.bool_())])
     types = dict(docs.dtypes)
@@ -139,6 +139,14 @@ def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path
                 values = [n_words, word_chars, symbols, duplicate_lines(buf), repeat, failed, chars, fallback, entropy, kept]
                 fields = list(schema)[len(carried):]
                 yield pa.RecordBatch.from_arrays(
-                    [col[c] for c in carried] + [pa.array(v, f.type) for v, f in zip(values, fields)], schema=schema)
+                    [col[c] for c in carried] + [pa.array(v, f.type) for v, f in zip(values, fields)], names=schema.names)
 
     return docs.select(*[F.col(c) for c in cols]).mapInArrow(run, ddl)
+
+
+def keep_good(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path: str, key: str = "doc_id",
+              text: str = "text", lang: str = "lang", **kw) -> DataFrame:
+    """The documents (all columns) that the rules keep."""
+    packed, keep, restore = with_extra(docs, (key, text, lang))
+    judged = quality_rules(packed, rank_path, rank_pattern, piece_path, key, text, lang, keep_columns=keep, **kw)
+    return restore(judged.where("kept"))

@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packing import _arrow_type
-from .shared import stored
+from .shared import stored, with_extra
 from .textbuf import TextBuf, slices
 
 #: Fixed values of the contract.
@@ -41,6 +40,7 @@ CLASS[list(ALPHABET)] = np.arange(len(ALPHABET))
 MIN_MEAN_RATIO = 0.35
 MIN_CLASSES = 2
 SAMPLES = 4096
+MARK = "[SECRET]"
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 SPAN_DDL = "array<struct<kind:string,start:long,end:long>>"
 
@@ -122,10 +122,7 @@ def scan(docs: DataFrame, key: str, text: str, keep_columns: tuple[str, ...]) ->
     cols = list(dict.fromkeys([*carried, text]))
     types = dict(docs.dtypes)
     cand = pa.struct([("start", pa.int64()), ("token", pa.binary())])
-    schema = pa.schema([pa.field(c, _arrow_type(docs, c)) for c in carried]
-                       + [pa.field("spans", pa.list_(SPAN)), pa.field("candidates", pa.list_(cand)),
-                          pa.field("is_doc", pa.bool_()), pa.field("random_counts", pa.list_(pa.int64())),
-                          pa.field("ordinary_counts", pa.list_(pa.int64()))])
+    names = [*carried, "spans", "candidates", "is_doc", "random_counts", "ordinary_counts"]
     ddl = ", ".join([f"`{c}` {types[c]}" for c in carried]
                     + [f"spans {SPAN_DDL}", "candidates array<struct<start:long,token:binary>>", "is_doc boolean",
                        "random_counts array<long>", "ordinary_counts array<long>"])
@@ -133,6 +130,7 @@ def scan(docs: DataFrame, key: str, text: str, keep_columns: tuple[str, ...]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random_counts = np.zeros(STATES * STATES, dtype=np.int64)
         ordinary_counts = np.zeros(STATES * STATES, dtype=np.int64)
+        kinds = None
         for batch in batches:
             for part in slices(batch, text):
                 column = part.column(part.schema.get_field_index(text))
@@ -166,12 +164,15 @@ def scan(docs: DataFrame, key: str, text: str, keep_columns: tuple[str, ...]) ->
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index(c)) for c in carried]
                     + [pa.array(spans, pa.list_(SPAN)), pa.array(candidates, pa.list_(cand)),
-                       pa.array([True] * buf.n, pa.bool_()), *[pa.nulls(buf.n, pa.list_(pa.int64()))] * 2], schema=schema)
+                       pa.array([True] * buf.n, pa.bool_()), *[pa.nulls(buf.n, pa.list_(pa.int64()))] * 2], names=names)
+                kinds = [part.column(part.schema.get_field_index(c)).type for c in carried]
+        if kinds is None:
+            return
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, f.type) for f in list(schema)[:len(carried)]]
+            [pa.nulls(1, kind) for kind in kinds]
             + [pa.array([[]], pa.list_(SPAN)), pa.array([[]], pa.list_(cand)), pa.array([False]),
                pa.array([random_counts.tolist()], pa.list_(pa.int64())),
-               pa.array([ordinary_counts.tolist()], pa.list_(pa.int64()))], schema=schema)
+               pa.array([ordinary_counts.tolist()], pa.list_(pa.int64()))], names=names)
 
     return docs.select(*cols).mapInArrow(run, ddl)
 
@@ -203,8 +204,6 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text",
     random_models, ordinary_model, trained = train(scanned)
     rows = scanned.where("is_doc").select(*carried, "spans", "candidates")
     types = dict(docs.dtypes)
-    schema = pa.schema([pa.field(c, _arrow_type(docs, c)) for c in carried]
-                       + [pa.field("base", pa.list_(SPAN)), pa.field("spans", pa.list_(SPAN))])
     rank = {k: i for i, k in enumerate((*KINDS, "random"))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,16 +215,17 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 every.append(sorted(spans + more, key=lambda s: (s["start"], rank[s["kind"]])) if more else spans)
             yield pa.RecordBatch.from_arrays(
                 batch.columns[:len(carried)] + [pa.array(base, pa.list_(SPAN)), pa.array(every, pa.list_(SPAN))],
-                schema=schema)
+                names=[*carried, "base", "spans"])
 
     ddl = ", ".join([f"`{c}` {types[c]}" for c in carried] + [f"base {SPAN_DDL}", f"spans {SPAN_DDL}"])
     return rows.mapInArrow(run, ddl)
 
 
-def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = MARK) -> DataFrame:
     """Documents (all columns) with every found span replaced by ``mark``; overlapping spans
     become one.  All rows stay."""
-    found = find_secrets(docs, key, text, keep_columns=tuple(docs.columns))
+    packed, keep, restore = with_extra(docs, (key, text))
+    found = find_secrets(packed, key, text, keep_columns=keep)
     cut = F.aggregate(
         "spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda a, s: F.when(s["end"] <= a["at"], a).when(
@@ -233,7 +233,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str =
                 F.concat(a["out"], F.substr(F.col(text), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
                          F.lit(mark)).alias("out"), s["end"].alias("at"))),
         lambda a: F.concat(a["out"], F.substr(F.col(text), (a["at"] + 1).cast("int"))))
-    return found.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(F.col(text))).select(*docs.columns)
+    return restore(found.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(F.col(text))))
 
 
 def spans_text(spans):

@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -29,3 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     """Whole table ``name``, projected at the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def with_extra(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, tuple[str, ...], Callable[[DataFrame], DataFrame]]:
+    """Carry a table's further columns through an operator, whatever they are called.
+
+    Returns ``docs`` with all columns but ``used`` in one struct ``_extra``, the columns to keep,
+    and a function that restores the original columns from a result that has those.
+    """
+    others = [c for c in docs.columns if c not in used]
+    if not others:
+        return docs, used, lambda out: out.select(*docs.columns)
+    packed = docs.select(*used, F.struct(*[F.col(f"`{c}`") for c in others]).alias("_extra"))
+    restored = [F.col(c) if c in used else F.col("_extra").getField(c).alias(c) for c in docs.columns]
+    return packed, (*used, "_extra"), lambda out: out.select(*restored)
