@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .textbuf import TextBuf, segment_sums, slices
-from .wordtok import json_tokenizer, word_hashes
+from .wordtok import json_tokenizer, word_units
 
 CAPACITY = 2048
 GROUP_TOKENS = 1 << 21
@@ -105,8 +105,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", te
         for batch in batches:
             for part in slices(batch, text):
                 buf = TextBuf(part.column(part.schema.get_field_index(text)))
-                starts, ends, firsts = buf.words()
-                flat, per_word = cache.tokens(buf, starts, ends, word_hashes(buf, starts, ends))
+                starts, ends, firsts, hashes = word_units(buf)
+                flat, per_word = cache.tokens(buf, starts, ends, hashes)
                 per_doc = segment_sums(per_word, firsts)
                 n = per_doc + 1
                 with_end = np.full(int(n.sum()), end_id, dtype=np.int32)

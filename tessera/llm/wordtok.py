@@ -6,6 +6,7 @@ cache is dropped when it holds ``MAX_WORDS`` words) and ids are laid out with nu
 """
 from __future__ import annotations
 
+import itertools
 import os
 from collections.abc import Callable
 
@@ -45,7 +46,7 @@ class WordCache:
         self.lens[at] = lens
         self.starts[at] = self.used + np.cumsum(lens) - lens
         self.flat[self.used:self.used + total] = np.fromiter(
-            (i for word in ids for i in word), dtype=np.int32, count=total)
+            itertools.chain.from_iterable(ids), dtype=np.int32, count=total)
         self.known.update(zip(keys, range(self.size, self.size + len(ids))))
         self.size += len(ids)
         self.used += total
@@ -76,14 +77,72 @@ def word_hashes(buf: TextBuf, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return _HASH.ranges(_HASH.prefix(buf.data), starts, ends)
 
 
+#: ASCII letters are 1; ASCII marks that never share a token with a letter are 2.  The
+#: apostrophe (contractions) and ``<|>`` (special tokens) may, and stay with their neighbours.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = 2
+_LOWER_HASH = RangeHasher(8, lower=True)
+
+
+def word_units(buf: TextBuf) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words cut further between letters and marks, for the lower-casing vocabulary that
+    cuts there itself: starts, ends, first unit of each text, and hashes.  Units that differ
+    in A-Z only share a hash, except those with a ``<`` (special tokens know case)."""
+    starts, ends, _ = buf.words()
+    kind = _KIND[buf.data]
+    cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+    marks = np.zeros(len(buf.data) + 1, dtype=bool)
+    marks[starts] = marks[cuts] = True
+    first = np.flatnonzero(marks)
+    marks[:] = False
+    marks[ends] = marks[cuts] = True
+    last = np.flatnonzero(marks)
+    hashes = _LOWER_HASH.ranges(_LOWER_HASH.prefix(buf.data), first, last)
+    special = np.flatnonzero(buf.data == 60)
+    if len(special):
+        at = np.unique(np.searchsorted(first, special, side="right") - 1)
+        hashes[at] = word_hashes(buf, first[at], last[at])
+    return first, last, np.searchsorted(first, buf.offs), hashes
+
+
+JOINED = 256
+
+
 def json_tokenizer(path: str) -> WordCache:
-    """Vocabulary of the ``tokenizers`` library, no special tokens added."""
+    """Vocabulary of the ``tokenizers`` library with word-end tokens, no special tokens added.
+
+    Words of ASCII letters are one pre-token each, so many of them are encoded as one text
+    and told apart by their word-end tokens; the others are encoded one by one.
+    """
     if path not in _CACHES:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
-        _CACHES[path] = WordCache(
-            lambda words: [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)])
+        is_end = np.zeros(tok.get_vocab_size(), dtype=bool)
+        is_end[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
+
+        def one_by_one(words: list[str]) -> list[list[int]]:
+            return [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+
+        def encode(words: list[str]) -> list[list[int]]:
+            plain = [i for i, w in enumerate(words) if w.isascii() and w.isalpha()]
+            other = [i for i, w in enumerate(words) if not (w.isascii() and w.isalpha())]
+            out: list[list[int]] = [[]] * len(words)
+            for i, ids in zip(other, one_by_one([words[i] for i in other])):
+                out[i] = ids
+            groups = [plain[a:a + JOINED] for a in range(0, len(plain), JOINED)]
+            for group, ids in zip(groups, one_by_one([" ".join([words[i] for i in g]) for g in groups])):
+                stops = (np.flatnonzero(is_end[ids]) + 1).tolist()
+                if len(stops) == len(group) and stops[-1] == len(ids):
+                    for i, a, b in zip(group, [0, *stops], stops):
+                        out[i] = ids[a:b]
+                else:
+                    for i, each in zip(group, one_by_one([words[i] for i in group])):
+                        out[i] = each
+            return out
+
+        _CACHES[path] = WordCache(encode)
     return _CACHES[path]
 
 
