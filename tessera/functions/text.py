@@ -26,15 +26,16 @@ STOP_WORDS_EN = (
 ).split()
 
 # Negations kept when stop words are removed for sentiment work.
-NEGATIONS_KEEP = ["no", "not", "nor", "don", "don't", "isn't", "aren't", "wasn't", "weren't", "haven't",
-                  "hasn't", "hadn't", "doesn't", "didn't", "won't", "wouldn't", "shan't", "shouldn't",
-                  "mustn't", "can't", "couldn't", "cannot"]
+NEGATIONS_KEEP = ["not", "no", "nor", "never", "none", "cannot"]
 
 # URL, currency, phone-like and special-character patterns of the message features.
 URL_TLDS = "com|net|org|info|ng|uk|co|ly|link|click|xyz"
 URL_PATTERN = rf"(?iU)(https?://\S+|www\.\S+|\b\w+\.(?:{URL_TLDS})\b)"
 CURRENCY_PATTERN = "[£$€₦]"
-PHONE_PATTERN = r"(?U)\b\d{4,}\b"
+PHONE_PATTERN = r"^\p{Nd}{4,}$"
+CAPS_PATTERN = r"^[A-Z]{2,}$"
+WORD_PATTERN = r"([\p{L}\p{N}_]+)"
+URL_STRIP_PATTERN = r"(https?://\S+|www\.\S+)"
 SPECIAL_PATTERN = r"(?U)[^a-zA-Z0-9\s]"
 
 # Weak-supervision keyword lists (lower-cased substrings), in priority order
@@ -69,6 +70,12 @@ def count_matches(x, pattern: str) -> Column:
     return F.regexp_count(_c(x), F.lit(pattern)).cast("long")
 
 
+def count_words_like(x, pattern: str) -> Column:
+    """Whole words (maximal runs of letters, digits, underscore) that match ``pattern``."""
+    words = F.regexp_extract_all(_c(x), F.lit(WORD_PATTERN), F.lit(1))
+    return F.size(F.filter(words, lambda w: F.rlike(w, F.lit(pattern)))).cast("long")
+
+
 def message_features(text) -> dict[str, Column]:
     """The twelve message features."""
     t = F.coalesce(_c(text), F.lit(""))
@@ -88,7 +95,7 @@ def message_features(text) -> dict[str, Column]:
         "uppercase_ratio": upper / F.greatest(letters, F.lit(1)),
         "n_exclaim": count_matches(t, "!"),
         "n_special": count_matches(t, SPECIAL_PATTERN),
-        "has_phone": F.regexp_like(t, F.lit(PHONE_PATTERN)).cast("int"),
+        "has_phone": (count_words_like(t, PHONE_PATTERN) > 0).cast("int"),
     }
 
 
@@ -102,18 +109,18 @@ def review_features(text) -> dict[str, Column]:
         "word_count": words,
         "char_count": F.length(t).cast("long"),
         "sentence_count": F.greatest(count_matches(t, r"[.!?]+"), F.lit(1)),
-        "caps_words": count_matches(t, r"(?U)\b[A-Z]{2,}\b"),
+        "caps_words": count_words_like(t, CAPS_PATTERN),
         "n_exclaim": count_matches(t, "!"),
         "n_question": count_matches(t, r"\?"),
         "avg_word_len": F.try_divide(word_chars, words),
     }
 
 
-def clean_tokens_raw(text, strip_redactions: bool = True) -> Column:
+def clean_tokens_raw(text, strip_redactions: bool = True, url_pattern: str = URL_STRIP_PATTERN) -> Column:
     """T4 first half: lower -> strip URLs -> strip HTML tags -> strip ``xx..``
     redactions -> non a-z to space -> whitespace tokens (stop words still in)."""
     t = F.lower(F.coalesce(_c(text), F.lit("")))
-    t = F.regexp_replace(t, r"(https?://\S+|www\.\S+)", " ")
+    t = F.regexp_replace(t, url_pattern, " ")
     t = F.regexp_replace(t, r"<[^>]+>", " ")
     if strip_redactions:
         t = F.regexp_replace(t, r"x{2,}", " ")
@@ -127,22 +134,17 @@ def clean_text(text, stop_words: Sequence[str] = STOP_WORDS_EN, min_len: int = 3
     a-z to space -> tokens of at least ``min_len`` chars not in ``stop_words``.
     Column form (usable on streams); DataFrame pipelines use ``clean_tokens`` which
     removes stop words with the JVM ``StopWordsRemover``."""
-    t = F.lower(F.coalesce(_c(text), F.lit("")))
-    t = F.regexp_replace(t, r"(https?://\S+|www\.\S+)", " ")
-    t = F.regexp_replace(t, r"<[^>]+>", " ")
-    if strip_redactions:
-        t = F.regexp_replace(t, r"x{2,}", " ")
-    t = F.regexp_replace(t, r"[^a-z\s]", " ")
-    toks = F.split(F.trim(t), r"\s+")
+    toks = clean_tokens_raw(text, strip_redactions)
     sw = F.array(*[F.lit(w) for w in stop_words])
     return F.filter(toks, lambda w: (F.length(w) >= min_len) & ~F.array_contains(sw, w))
 
 
-def clean_tokens(df, text: str, out: str, stop_words: Sequence[str] = STOP_WORDS_EN, min_len: int = 3):
+def clean_tokens(df, text: str, out: str, stop_words: Sequence[str] = STOP_WORDS_EN, min_len: int = 3,
+                 url_pattern: str = URL_STRIP_PATTERN):
     """T4 on a DataFrame: raw cleaned tokens, stop words removed by ``StopWordsRemover``
     (hash lookups), then tokens shorter than ``min_len`` dropped."""
     from pyspark.ml.feature import StopWordsRemover
-    d = df.withColumn("_ct_raw", clean_tokens_raw(text))
+    d = df.withColumn("_ct_raw", clean_tokens_raw(text, url_pattern=url_pattern))
     d = StopWordsRemover(inputCol="_ct_raw", outputCol="_ct_sw", stopWords=list(stop_words)).transform(d)
     return d.withColumn(out, F.filter("_ct_sw", lambda w: F.length(w) >= min_len)).drop("_ct_raw", "_ct_sw")
 

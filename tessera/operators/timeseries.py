@@ -19,36 +19,12 @@ from pyspark.sql import functions as F
 from .ordering import halo_chunks, sequence_index, sequence_index_sized
 
 CHUNK = 1 << 16
-FIXED_ORDER_MAX = 64  # frames up to this size are summed term by term in a fixed order
-
-
-def _ordered_sum(col: str, w: WindowSpec, lo: int, hi: int) -> Column:
-    """Sum of the values at offsets lo..hi (inclusive, relative to the row), added in
-    that order: bit-identical whatever engine or plan evaluates it."""
-    terms = [F.lead(col, k).over(w) if k > 0 else (F.lag(col, -k).over(w) if k < 0 else F.col(col))
-             for k in range(lo, hi + 1)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
 
 
 def _frame_mean_std(col: str, w: WindowSpec, lo: int, hi: int) -> tuple[Column, Column, Column]:
-    """(full, mean, sample std) over the frame [lo, hi]; fixed-order sums for short frames."""
-    n = hi - lo + 1
+    """(full, mean, sample std) over the frame [lo, hi]."""
     fr = w.rowsBetween(lo, hi)
-    full = F.count(col).over(fr) == n
-    if n > FIXED_ORDER_MAX:
-        return full, F.avg(col).over(fr), F.stddev_samp(col).over(fr)
-    mean = _ordered_sum(col, w, lo, hi) / n
-    vals = [F.lead(col, k).over(w) if k > 0 else (F.lag(col, -k).over(w) if k < 0 else F.col(col))
-            for k in range(lo, hi + 1)]
-    ss = None
-    for v in vals:
-        t = (v - mean) * (v - mean)
-        ss = t if ss is None else ss + t
-    std = F.sqrt(ss / (n - 1)) if n > 1 else F.lit(None).cast("double")
-    return full, mean, std
+    return F.count(col).over(fr) == hi - lo + 1, F.avg(col).over(fr), F.stddev_samp(col).over(fr)
 
 
 def _names(cols) -> list[str]:
@@ -193,11 +169,7 @@ def seasonal_decompose(df: DataFrame, series, pos: str, col: str, period: int,
             return {"trend": F.when(F.count(col).over(fr) == period, F.avg(col).over(fr))}
         fr = w.rowsBetween(-half, half)
         full = F.count(col).over(fr) == period + 1
-        if period + 1 <= FIXED_ORDER_MAX:
-            ssum = (0.5 * F.lag(col, half).over(w) + _ordered_sum(col, w, -half + 1, half - 1)
-                    + 0.5 * F.lead(col, half).over(w))
-        else:
-            ssum = F.sum(col).over(fr) - 0.5 * F.lag(col, half).over(w) - 0.5 * F.lead(col, half).over(w)
+        ssum = F.sum(col).over(fr) - 0.5 * F.lag(col, half).over(w) - 0.5 * F.lead(col, half).over(w)
         return {"trend": F.when(full, ssum / period)}
 
     t = bounded_window(df, s, pos, half, half, build, chunk_rows)
@@ -231,44 +203,29 @@ def acf(df: DataFrame, series, pos: str, col: str, nlags: int, chunk_rows: int =
                  F.col(f"_r{k}").alias("autocorr")) for k in range(nlags + 1)])))
 
 
-def pacf_from_acf(r: Sequence[float]) -> list[float]:
-    """Durbin-Levinson recursion (Yule-Walker PACF) on <= nlags+1 numbers.
-    Driver-side maths on an already aggregated, bounded list."""
-    n = len(r) - 1
-    out = [1.0]
-    phi_prev: list[float] = []
-    for k in range(1, n + 1):
-        if k == 1:
-            phi_kk = r[1]
-            phi = [phi_kk]
-        else:
-            num = r[k] - sum(phi_prev[j] * r[k - 1 - j] for j in range(k - 1))
-            den = 1 - sum(phi_prev[j] * r[j + 1] for j in range(k - 1))
-            phi_kk = num / den if den else math.nan
-            phi = [phi_prev[j] - phi_kk * phi_prev[k - 2 - j] for j in range(k - 1)] + [phi_kk]
-        out.append(phi_kk)
-        phi_prev = phi
-    return out
-
-
 def pacf(acf_table: DataFrame, series, lag: str = "lag", acf_col: str = "acf") -> DataFrame:
-    """PACF per series from its ACF rows with ``groupBy(series).applyInPandas``: each
-    group holds only nlags + 1 numbers, so the recursion runs inside the tasks and
-    nothing proportional to the number of series reaches the driver."""
+    """PACF per series from its ACF rows (lags 0..n, one row each) by the Durbin-Levinson
+    recursion (Yule-Walker), as one ``aggregate`` over the lags of each series' array."""
     s = _names(series)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in acf_table.schema.fields if f.name in s)
-    schema = (schema + ", " if schema else "") + f"{lag} int, pacf double"
-
-    def per_series(pdf):
-        import pandas as pd
-        pdf = pdf.sort_values(lag)
-        vals = pacf_from_acf([float(x) for x in pdf[acf_col]])
-        out = pd.DataFrame({lag: pdf[lag].astype("int32").values, "pacf": vals})
-        for c in s:
-            out.insert(0, c, pdf[c].iloc[0])
-        return out
-
-    return acf_table.select(*s, lag, acf_col).groupBy(*s).applyInPandas(per_series, schema)
+    arrays = acf_table.groupBy(*s).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct(F.col(lag).alias("l"), F.col(acf_col).cast("double").alias("a")))),
+        lambda x: x["a"]).alias("_r"))
+    r = F.col("_r")
+    at = lambda a, i: F.try_element_at(a, i.cast("int"))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+
+    def step(acc: Column, k: Column) -> Column:
+        phi = acc["phi"]  # k - 1 coefficients of the previous order
+        num = at(r, k + 1) - total(F.transform(phi, lambda p, j: p * at(r, k - j)))
+        den = F.lit(1.0) - total(F.transform(phi, lambda p, j: p * at(r, j + 2)))
+        kk = F.when(den == 0, F.lit(float("nan"))).otherwise(num / den)
+        new = F.concat(F.transform(phi, lambda p, j: p - kk * at(phi, k - 1 - j)), F.array(kk))
+        return F.struct(new.alias("phi"), F.concat(acc["out"], F.array(kk)).alias("out"))
+
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("out"))
+    lags = F.when(F.size(r) > 1, F.sequence(F.lit(1), F.size(r) - 1)).otherwise(F.array().cast("array<int>"))
+    out = F.aggregate(lags, start, step, lambda acc: acc["out"])
+    return arrays.select(*s, F.posexplode(out).alias(lag, "pacf"))
 
 
 def chrono_split(df: DataFrame, series, ts: str, fracs: Sequence[float] = (0.7, 0.15),

@@ -180,69 +180,105 @@ def recommender_holdout_metrics(spark, sf):
     return rc.evaluate_recommendations(sp, 10, 10)
 
 
-BASKET_SQL = """
-q AS (SELECT l.l_orderkey, p.p_brand, sum(l.l_quantity) AS qt FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-      GROUP BY ALL HAVING sum(l.l_quantity) > 0),
-top AS (SELECT p_brand FROM q GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 20),
-bk AS (SELECT l_orderkey, list_sort(list(p_brand)) AS items FROM q WHERE p_brand IN (SELECT p_brand FROM top)
+def _baskets_sql(item: str, top: int | None, market: str = "") -> str:
+    limit = f"AND item IN (SELECT item FROM q GROUP BY item ORDER BY count(*) DESC, item LIMIT {top})" if top else ""
+    return f"""
+q AS (SELECT l.l_orderkey, {item} AS item, sum(l.l_quantity) AS qt FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+      {market} GROUP BY ALL HAVING sum(l.l_quantity) > 0),
+bk AS (SELECT l_orderkey, list_sort(list(item)) AS items FROM q WHERE true {limit}
        GROUP BY l_orderkey HAVING count(*) >= 2)"""
 
 
-def brand_baskets_df(spark, sf):
+BASKET_SQL = _baskets_sql("p.p_brand", 300)
+
+
+def baskets_df(spark, sf, item: str, top_items: int | None, orders=None):
     li = read_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
-    p = read_table(spark, sf, "part", "p_partkey", "p_brand")
+    p = read_table(spark, sf, "part", "p_partkey", item)
     j = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
-    return rc.baskets(j, "l_orderkey", "p_brand", "l_quantity", top_items=20)
+    if orders is not None:
+        j = j.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    return rc.baskets(j, "l_orderkey", item, "l_quantity", top_items=top_items)
+
+
+def brand_baskets_df(spark, sf):
+    return baskets_df(spark, sf, "p_brand", 300)
 
 
 @query("brand_baskets", f"""
 WITH {BASKET_SQL}
 SELECT l_orderkey, array_to_string(items, ',') AS items, CAST(len(items) AS INTEGER) AS n_items FROM bk""")
 def brand_baskets(spark, sf):
-    """Brand baskets per order (top-20 brands, positive quantity, >= 2 brands)."""
+    """Brand baskets per order (top-300 items, positive quantity, >= 2 brands)."""
     b = brand_baskets_df(spark, sf)
     return b.select("l_orderkey", F.array_join("items", ",").alias("items"), F.size("items").alias("n_items"))
 
 
-ITEMSETS_SQL = BASKET_SQL + """,
-e AS (SELECT l_orderkey, unnest(items) AS it FROM bk),
+MARKET_SQL = _baskets_sql("CAST(p.p_partkey AS VARCHAR)", 300, """JOIN orders o ON o.o_orderkey = l.l_orderkey
+  JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+  JOIN region r ON r.r_regionkey = n.n_regionkey AND r.r_name = 'EUROPE'""")
+
+
+@query("market_product_baskets", f"""
+WITH {MARKET_SQL}
+SELECT l_orderkey, array_to_string(items, ',') AS items, CAST(len(items) AS INTEGER) AS n_items FROM bk""")
+def market_product_baskets(spark, sf):
+    """Product baskets of one market (region EUROPE), its 300 most frequent products."""
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_custkey")
+    c = read_table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    n = read_table(spark, sf, "nation", "n_nationkey", "n_regionkey")
+    r = read_table(spark, sf, "region", "r_regionkey", "r_name").where("r_name = 'EUROPE'")
+    nations = n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey")  # 25 nations
+    orders = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+              .join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("o_orderkey"))
+    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    p = read_table(spark, sf, "part", "p_partkey")
+    j = (li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+         .withColumn("item", F.col("l_partkey").cast("string")))
+    b = rc.baskets(j, "l_orderkey", "item", "l_quantity", top_items=300)
+    return b.select("l_orderkey", F.array_join("items", ",").alias("items"), F.size("items").alias("n_items"))
+
+
+# Every non-empty subset of every basket, by bit mask (a basket has a few lines): the definition
+# of support, without a bound on the itemset's size.  Sizes of parts are banded into five items
+# so that itemsets of all sizes are frequent.
+SIZE_BASKETS = _baskets_sql("'size ' || CAST(p.p_size // 10 AS VARCHAR)", None)
+ITEMSETS_SQL = SIZE_BASKETS + """,
 nb AS (SELECT count(*) AS n FROM bk),
-s1 AS (SELECT it AS a, count(*) AS f FROM e GROUP BY it),
-s2 AS (SELECT x.it AS a, y.it AS b, count(*) AS f FROM e x JOIN e y ON x.l_orderkey = y.l_orderkey AND x.it < y.it GROUP BY ALL),
-s3 AS (SELECT x.it AS a, y.it AS b, z.it AS c, count(*) AS f FROM e x JOIN e y ON x.l_orderkey = y.l_orderkey AND x.it < y.it
-       JOIN e z ON z.l_orderkey = x.l_orderkey AND y.it < z.it GROUP BY ALL),
-fi AS (SELECT a AS itemset, 1 AS size, f FROM s1 WHERE f >= 0.02 * (SELECT n FROM nb)
-       UNION ALL SELECT a || ', ' || b, 2, f FROM s2 WHERE f >= 0.02 * (SELECT n FROM nb)
-       UNION ALL SELECT a || ', ' || b || ', ' || c, 3, f FROM s3 WHERE f >= 0.02 * (SELECT n FROM nb))"""
+masks AS (SELECT items, unnest(range(1, (1 << len(items)))) AS m FROM bk),
+subs AS (SELECT [items[i] for i in range(1, len(items) + 1) if (m >> (i - 1)) & 1 = 1] AS s FROM masks),
+fi AS (SELECT s, count(*) AS f FROM subs GROUP BY s HAVING count(*) >= 0.02 * (SELECT n FROM nb))"""
+
+
+def size_baskets_df(spark, sf):
+    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    p = read_table(spark, sf, "part", "p_partkey", "p_size")
+    j = li.join(p, F.col("l_partkey") == F.col("p_partkey")).withColumn(
+        "item", F.concat(F.lit("size "), F.floor(F.col("p_size") / 10).cast("string")))
+    return rc.baskets(j, "l_orderkey", "item", "l_quantity")
 
 
 @query("frequent_itemsets", f"""
 WITH {ITEMSETS_SQL}
-SELECT itemset, size, f / (SELECT n FROM nb) AS support FROM fi""", floats=("support",))
+SELECT array_to_string(s, ', ') AS itemset, CAST(len(s) AS INTEGER) AS size, f / (SELECT n FROM nb) AS support FROM fi""",
+       floats=("support",))
 def frequent_itemsets(spark, sf):
-    """Frequent brand itemsets (FP-growth, support >= 0.02, up to 3 items)."""
-    return rc.frequent_itemsets(brand_baskets_df(spark, sf), 0.02, max_len=3)
+    """Frequent itemsets (FP-growth, support >= 0.02) of any size."""
+    return rc.frequent_itemsets(size_baskets_df(spark, sf), 0.02)
 
 
 @query("association_rules", f"""
 WITH {ITEMSETS_SQL},
-f2 AS (SELECT * FROM s2 WHERE f >= 0.02 * (SELECT n FROM nb)),
-f3 AS (SELECT * FROM s3 WHERE f >= 0.02 * (SELECT n FROM nb)),
-r AS (
-  SELECT f2.a AS ante, f2.b AS cons, f2.f, x.f AS fa, y.f AS fc FROM f2 JOIN s1 x ON x.a = f2.a JOIN s1 y ON y.a = f2.b
-  UNION ALL SELECT f2.b, f2.a, f2.f, y.f, x.f FROM f2 JOIN s1 x ON x.a = f2.a JOIN s1 y ON y.a = f2.b
-  UNION ALL SELECT f3.a, f3.b || ', ' || f3.c, f3.f, x.f, p.f FROM f3 JOIN s1 x ON x.a = f3.a JOIN s2 p ON p.a = f3.b AND p.b = f3.c
-  UNION ALL SELECT f3.b, f3.a || ', ' || f3.c, f3.f, x.f, p.f FROM f3 JOIN s1 x ON x.a = f3.b JOIN s2 p ON p.a = f3.a AND p.b = f3.c
-  UNION ALL SELECT f3.c, f3.a || ', ' || f3.b, f3.f, x.f, p.f FROM f3 JOIN s1 x ON x.a = f3.c JOIN s2 p ON p.a = f3.a AND p.b = f3.b
-  UNION ALL SELECT f3.a || ', ' || f3.b, f3.c, f3.f, p.f, x.f FROM f3 JOIN s2 p ON p.a = f3.a AND p.b = f3.b JOIN s1 x ON x.a = f3.c
-  UNION ALL SELECT f3.a || ', ' || f3.c, f3.b, f3.f, p.f, x.f FROM f3 JOIN s2 p ON p.a = f3.a AND p.b = f3.c JOIN s1 x ON x.a = f3.b
-  UNION ALL SELECT f3.b || ', ' || f3.c, f3.a, f3.f, p.f, x.f FROM f3 JOIN s2 p ON p.a = f3.b AND p.b = f3.c JOIN s1 x ON x.a = f3.a)
-SELECT ante AS antecedents, cons AS consequents, f / (SELECT n FROM nb) AS support, f / fa AS confidence,
-       (f / fa) / (fc / (SELECT n FROM nb)) AS lift
-FROM r WHERE (f / fa) / (fc / (SELECT n FROM nb)) >= 1""", floats=("support", "confidence", "lift"))
+sp AS (SELECT s, f, unnest(range(1, (1 << len(s)) - 1)) AS m FROM fi WHERE len(s) >= 2),
+r AS (SELECT f, [s[i] for i in range(1, len(s) + 1) if (m >> (i - 1)) & 1 = 1] AS ante,
+             [s[i] for i in range(1, len(s) + 1) if (m >> (i - 1)) & 1 = 0] AS cons FROM sp)
+SELECT array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents,
+       r.f / (SELECT n FROM nb) AS support, r.f / a.f AS confidence, (r.f / a.f) / (c.f / (SELECT n FROM nb)) AS lift
+FROM r JOIN fi a ON a.s = r.ante JOIN fi c ON c.s = r.cons""", floats=("support", "confidence", "lift"))
 def association_rules(spark, sf):
-    """All association rules (multi-item consequents included) with lift >= 1."""
-    return rc.association_rules(brand_baskets_df(spark, sf), 0.02, 1.0, max_len=3)
+    """All association rules (antecedents and consequents of any size), any lift."""
+    return rc.association_rules(size_baskets_df(spark, sf), 0.02, 0.0)
 
 
 @query("duplicate_documents", """

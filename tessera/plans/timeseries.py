@@ -118,7 +118,7 @@ def hourly_decomposition(spark, sf):
     return _fmt(d).select("event_type", "bucket", "value", "trend", "seasonal", "resid")
 
 
-@query("hourly_acf", f"""
+_ACF_SQL = f"""
 WITH {INTERP_SQL},
 m AS (SELECT event_type, avg(value) AS mu FROM x GROUP BY 1),
 l AS (SELECT x.event_type, x.value, mu, """ + ", ".join(
@@ -126,17 +126,28 @@ l AS (SELECT x.event_type, x.value, mu, """ + ", ".join(
       FROM x JOIN m USING (event_type))
 """ + " UNION ALL ".join(
     f"SELECT event_type, {k} AS lag, sum((value - mu) * ({'value' if k == 0 else f'l{k}'} - mu)) / sum((value - mu) * (value - mu)) AS acf, "
-    f"corr(value, {'value' if k == 0 else f'l{k}'}) AS autocorr FROM l GROUP BY event_type" for k in range(25)),
-       floats=("acf", "autocorr"))
+    f"corr(value, {'value' if k == 0 else f'l{k}'}) AS autocorr FROM l GROUP BY event_type" for k in range(25))
+
+
+@query("hourly_acf", _ACF_SQL, floats=("acf", "autocorr"))
 def hourly_acf(spark, sf):
     """biased ACF (full-series mean) and Pearson lag-k autocorrelation, lags 0-24."""
     return ts.acf(hourly_filled(spark, sf), "event_type", "pos", "value", 24)
 
 
-@query("hourly_pacf", None)
+@query("hourly_pacf", f"""
+WITH RECURSIVE a AS ({_ACF_SQL}),
+s AS (SELECT event_type, list(acf ORDER BY lag) AS r FROM a GROUP BY 1),
+p AS (
+  SELECT event_type, 0 AS lag, CAST([] AS DOUBLE[]) AS phi, CAST(1.0 AS DOUBLE) AS pacf, r FROM s
+  UNION ALL
+  SELECT event_type, lag + 1, list_concat([phi[j] - kk * phi[lag + 1 - j] for j in range(1, lag + 1)], [kk]), kk, r
+  FROM (SELECT *, (r[lag + 2] - coalesce(list_sum([phi[j] * r[lag + 2 - j] for j in range(1, lag + 1)]), 0))
+                  / (1 - coalesce(list_sum([phi[j] * r[j + 1] for j in range(1, lag + 1)]), 0)) AS kk
+        FROM p WHERE lag < 24))
+SELECT event_type, lag, pacf FROM p""", floats=("pacf",))
 def hourly_pacf(spark, sf):
-    """PACF (Yule-Walker, Durbin-Levinson) per series from its ACF, computed per
-    series inside the tasks (grouped pandas over nlags + 1 numbers)."""
+    """PACF (Yule-Walker, Durbin-Levinson) per series from its ACF."""
     return ts.pacf(hourly_acf(spark, sf).withColumn("lag", F.col("lag").cast("int")), "event_type")
 
 

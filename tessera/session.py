@@ -6,6 +6,7 @@ session (``spark.checkpoint.dir``) and only filled in when unset, as in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,11 +47,13 @@ def get_session(app: str = "tessera", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``; it must be
+    set there.  Only a local master gets a fresh scratch folder when it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -10,6 +10,7 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,9 +99,11 @@ def cached_parquet(spark: SparkSession, root: str, key: dict, build: Callable[[]
     path = f"{root.rstrip('/')}/{h}"
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent key: build it
-        write_parquet(build(), path)
-        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    write_parquet(build(), path)
+    return spark.read.parquet(path)
 
 
 def run_phases(spark: SparkSession, phases: Sequence[tuple[str, Callable[[DataFrame | None], DataFrame]]],
@@ -140,9 +143,10 @@ def write_manifest(df: DataFrame, path: str, split: str = "split") -> str:
 
 
 def file_catalogue(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True,
-                   with_content_hash: bool = True) -> DataFrame:
-    """Directory as a table: one row per file (path, name, parent folder as class,
-    bytes, content hash).  ``binaryFile`` reads file bytes in the executors."""
+                   with_content_hash: bool = False) -> DataFrame:
+    """Directory as a table: one row per file at any depth (path, name, parent folder
+    as class, bytes from the file's metadata).  ``with_content_hash`` also reads the bytes
+    in the executors (files up to 2 GB)."""
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", recursive).load(root))
     parts = F.split("path", "/")

@@ -7,8 +7,6 @@ retried query resumes exactly once.
 """
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,12 +14,18 @@ from pyspark.sql import types as T
 from ..sources.files import scratch_path
 
 
-def file_stream(spark: SparkSession, root: str, schema: T.StructType, glob: str, max_files: int | None = None) -> DataFrame:
-    """Parquet file stream over ``root`` restricted to files matching ``glob``."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """Parquet file stream over the table at ``path``: a folder of files or one file.
+
+    The last character is put in a character class, so the path is a glob that matches
+    itself; the source then lists a folder's files as well as a single file.
+    ``max_files`` bounds the files of a micro-batch.
+    """
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(root)
+    path = path.rstrip("/")
+    return r.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def run_append(stream: DataFrame, name: str) -> DataFrame:
@@ -75,8 +79,3 @@ def residual_flags(stream: DataFrame, static: DataFrame, keys: list[str], value:
     return j.withColumn("residual", F.col(value) - F.col("mean")) \
             .withColumn("anomaly", F.abs(F.col("residual")) > k * F.col("std"))
 
-
-def foreach_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
-    return sink
