@@ -128,6 +128,21 @@ def out_of_fold(df: DataFrame, estimator, fold_col: str, k: int, keep: Sequence[
     return out
 
 
+def out_of_fold_with_test(df: DataFrame, test: DataFrame, estimator, fold_col: str, k: int, keep: Sequence[str],
+                          keep_test: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Held-out predictions for every row of ``df``, and for every row of ``test`` the mean
+    prediction of the k fold models (``keep_test`` must identify a test row)."""
+    parts, tests = [], []
+    for i in range(k):
+        model = estimator.fit(df.filter(F.col(fold_col) != i))
+        parts.append(model.transform(df.filter(F.col(fold_col) == i)).select(*keep, "prediction"))
+        tests.append(model.transform(test).select(*keep_test, "prediction"))
+    oof, held = parts[0], tests[0]
+    for p, t in zip(parts[1:], tests[1:]):
+        oof, held = oof.unionByName(p), held.unionByName(t)
+    return oof, held.groupBy(*keep_test).agg(F.avg("prediction").alias("prediction"))
+
+
 def top_classes(prob_col: str, labels: Sequence[str], k: int = 3):
     """K14: "label (p), ..." for the k most probable classes of a probability vector."""
     arr = vector_to_array(F.col(prob_col))
