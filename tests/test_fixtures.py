@@ -275,8 +275,11 @@ def test_dbscan_against_brute_force(spark):
             assert out[i] == (min(labels) if labels else -1)
 
 
-def test_pacf_of_ar1_acf():
-    from tessera.operators.timeseries import pacf_from_acf
+def test_pacf_of_ar1_acf(spark):
+    from tessera.operators.timeseries import pacf
     phi = 0.6
-    p = pacf_from_acf([phi ** k for k in range(6)])
-    assert abs(p[1] - phi) < 1e-12 and all(abs(x) < 1e-12 for x in p[2:])
+    rows = [("s", k, phi ** k) for k in range(6)] + [("t", 0, 1.0)]
+    got = pacf(spark.createDataFrame(rows, "series string, lag int, acf double"), "series").collect()
+    p = [r.pacf for r in sorted((r for r in got if r.series == "s"), key=lambda r: r.lag)]
+    assert p[0] == 1.0 and abs(p[1] - phi) < 1e-12 and all(abs(x) < 1e-12 for x in p[2:]) and len(p) == 6
+    assert [r.pacf for r in got if r.series == "t"] == [1.0]
