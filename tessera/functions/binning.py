@@ -65,20 +65,17 @@ def qcut(df: DataFrame, col: str, q, out: str, labels: Sequence | None = None,
          duplicates: str = "raise", group_cols: Sequence[str] = ()) -> DataFrame:
     """pandas ``qcut`` (globally, or per ``group_cols``).
 
-    Edges come from the exact ``percentile`` aggregate, whose buffer is a value->count
-    map: memory grows with the number of *distinct* values, so use it on columns with a
-    bounded domain (days, counts, scores); for continuous columns use
-    ``qcut_first_rank``.
+    Edges are exact interpolated quantiles (``operators/quantiles.py``).
     """
     probs = quantile_probs(q)
-    edges = F.percentile(F.col(col).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
+    from ..operators.quantiles import exact_quantiles, quantile_values
     if group_cols:
-        e = df.groupBy(*group_cols).agg(edges.alias("_edges"))
+        e = exact_quantiles(df, [col], probs, list(group_cols)).select(*group_cols, F.col("q").alias("_edges"))
         d = df.join(e, list(group_cols), "left")
         ecol = F.col("_edges")
     else:
         d = df
-        ecol = df.select(edges).scalar()
+        ecol = F.array(*[F.lit(x).cast("double") for x in quantile_values(df, [col], probs)[col]])
     code = code_from_edges(F.col(col).cast("double"), ecol, len(probs) - 1, duplicates)
     if labels is not None:
         code = F.element_at(F.array(*[F.lit(v) for v in labels]), code + 1)

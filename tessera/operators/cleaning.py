@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from .quantiles import exact_median, mode_values, quantile_values
 from pyspark.sql import types as T
 
 # Stock codes that are not sellable products (compared after strip+upper).
@@ -150,19 +152,10 @@ def drop_if_present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- B19-B23
-def winsorize(df: DataFrame, cols: Sequence[str], lo: float = 0.005, hi: float = 0.995,
-              approx: bool = False) -> DataFrame:
-    """Clip to the ``lo``/``hi`` percentiles (linear interpolation).  One
-    aggregate for all columns; ``approx=True`` uses ``percentile_approx`` for columns
-    with unbounded distinct values at scale."""
-    pct = (lambda c: F.percentile_approx(c, [lo, hi], 10000)) if approx else \
-          (lambda c: F.percentile(F.col(c).cast("double"), F.array(F.lit(lo), F.lit(hi))))
-    edges = df.agg(*[pct(c).alias(c) for c in cols])
-    out = df
-    for c in cols:
-        e = edges.select(c).scalar()
-        out = out.withColumn(c, F.least(F.greatest(F.col(c), e[0]), e[1]))
-    return out
+def winsorize(df: DataFrame, cols: Sequence[str], lo: float = 0.005, hi: float = 0.995) -> DataFrame:
+    """Clip to the ``lo``/``hi`` percentiles (linear interpolation)."""
+    edges = quantile_values(df, cols, [lo, hi])
+    return df.withColumns({c: F.least(F.greatest(F.col(c), F.lit(edges[c][0])), F.lit(edges[c][1])) for c in cols})
 
 
 def fill_absent(df: DataFrame, categorical: Sequence[str] = (), numeric: Sequence[str] = (),
@@ -174,42 +167,40 @@ def fill_absent(df: DataFrame, categorical: Sequence[str] = (), numeric: Sequenc
 
 
 def group_median_fill(df: DataFrame, col: str, group_cols: Sequence[str]) -> DataFrame:
-    """Fill nulls with the group median, else the global median.  The group
-    medians are an aggregate (value->count map per group) joined back on the key."""
+    """Fill nulls with the group median, else the global median."""
     g = list(group_cols)
-    med = df.groupBy(*g).agg(F.median(col).alias("_gmed"))
-    glob = df.select(F.median(col)).scalar()
+    med = exact_median(df, col, g, "_gmed")
+    glob = F.lit(quantile_values(df, [col], [0.5])[col][0])
     return (df.join(med, g, "left")
               .withColumn(col, F.coalesce(F.col(col), F.col("_gmed"), glob)).drop("_gmed"))
 
 
 def mode_fill(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Fill nulls with the column mode (smallest value on ties), one aggregate."""
-    modes = df.agg(*[F.mode(c, True).alias(c) for c in cols])
-    return df.withColumns({c: F.coalesce(F.col(c), modes.select(c).scalar()) for c in cols})
+    """Fill nulls with the column mode (smallest value on ties)."""
+    modes = mode_values(df, cols)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(modes[c])) for c in cols})
 
 
 def fallback_fill(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """B22 second half: any remaining null column -> median if numeric, else mode."""
     num = numeric_columns(df, exclude)
     oth = [c for c in df.columns if c not in num and c not in exclude]
-    stats = df.agg(*[F.median(c).alias(c) for c in num], *[F.mode(c, True).alias(c) for c in oth])
-    return df.withColumns({c: F.coalesce(F.col(c), stats.select(c).scalar())
-                           for c in num + oth})
+    stats = {c: q[0] for c, q in quantile_values(df, num, [0.5]).items()} if num else {}
+    stats |= mode_values(df, oth)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(stats[c])) for c in num + oth})
 
 
 class Imputer:
     """Train-fitted imputer (median for numerics, most-frequent for strings).
-    ``fit`` runs one aggregate on the training rows; ``transform`` is a projection."""
+    ``fit`` reads the training rows; ``transform`` is a projection."""
 
     def __init__(self, numeric: Sequence[str] = (), categorical: Sequence[str] = ()):
         self.numeric, self.categorical = list(numeric), list(categorical)
         self.values: dict = {}
 
     def fit(self, train: DataFrame) -> "Imputer":
-        row = train.agg(*[F.median(c).alias(c) for c in self.numeric],
-                        *[F.mode(c, True).alias(c) for c in self.categorical]).first()
-        self.values = row.asDict() if row else {}
+        medians = quantile_values(train, self.numeric, [0.5]) if self.numeric else {}
+        self.values = {c: q[0] for c, q in medians.items()} | mode_values(train, self.categorical)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -220,14 +211,11 @@ class Imputer:
 def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = 1.5,
                  upper_only: bool = False) -> DataFrame:
     """Per column q1, q3, fences and the count/percent of rows strictly outside.
-    Pass 1: one aggregate of quartiles for every column; pass 2: one aggregate of
-    conditional sums.  Returns (column, q1, q3, lower, upper, n_outliers, pct)."""
-    q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(c)
-                 for c in cols])
+    Quartiles of every column first, then one aggregate of conditional sums.  Returns (column, q1, q3, lower, upper, n_outliers, pct)."""
+    q = quantile_values(df, cols, [0.25, 0.75])
     sums, rows = [], []
     for c in cols:
-        e = q.select(c).scalar()
-        q1, q3 = e[0], e[1]
+        q1, q3 = (F.lit(x).cast("double") for x in q[c])
         lo, hi = q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
         cond = (F.col(c) > hi) if upper_only else ((F.col(c) < lo) | (F.col(c) > hi))
         sums.append(F.sum(F.when(cond, 1).otherwise(0)).cast("long").alias(c))

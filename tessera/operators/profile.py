@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_mode, exact_quantiles, quantile_values
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -57,15 +59,15 @@ def crosstab(df: DataFrame, row: str, col: str, values: Sequence, aliases: Seque
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pandas ``describe().T``: count, mean, std (ddof 1), min, quartiles, max,
-    exact quartiles, one aggregate pass for all columns."""
+    """Pandas ``describe().T``: count, mean, std (ddof 1), min, exact quartiles, max."""
+    q = quantile_values(df, cols, [0.25, 0.5, 0.75])
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                              F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                             F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-                             F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max")).alias(c))
+                             *[F.lit(v).cast("double").alias(n) for n, v in zip(("p25", "p50", "p75"), q[c])],
+                             F.max(x).alias("max")).alias(c))
     return df.agg(*aggs).select(F.inline(F.array(*cols)))
 
 
@@ -96,7 +98,7 @@ def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def group_mode(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
     """Most frequent value per group, smallest on ties."""
-    return df.groupBy(*keys).agg(F.mode(col, True).alias(out or col))
+    return exact_mode(df, col, list(keys), out)
 
 
 def least_squares(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
@@ -129,10 +131,9 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None,
 
 def box_stats(df: DataFrame, keys: Sequence[str], col: str, factor: float = 1.5) -> DataFrame:
     """Quartiles, fences, whisker ends (extreme values inside the fences) and
-    outlier counts per group: one percentile aggregate + one conditional aggregate."""
-    q = df.groupBy(*keys).agg(F.percentile(F.col(col).cast("double"),
-                                           F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    outlier counts per group: exact quartiles, then one conditional aggregate."""
+    q = exact_quantiles(df, [col], [0.25, 0.5, 0.75], list(keys))
+    q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lower", F.col("q1") - factor * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper", F.col("q3") + factor * (F.col("q3") - F.col("q1")))
     x = F.col(col)

@@ -267,6 +267,7 @@ def cadence_audit(df: DataFrame, series, pos: str, ts: str) -> DataFrame:
     prev = df.select(*s, (F.col(pos) + 1).alias(pos), F.col(ts).alias("_prev"))
     g = df.join(prev, [*s, pos]).select(
         *s, (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_prev").cast("timestamp"))).alias("_gap_us"))
-    return g.groupBy(*s).agg(F.mode("_gap_us", True).alias("modal_gap_us"),
-                             F.count_distinct("_gap_us").alias("distinct_gaps")) \
-            .withColumn("regular", F.col("distinct_gaps") == 1)
+    counted = g.groupBy(*s, "_gap_us").agg(F.count(F.lit(1)).alias("_c"))  # then a group's buffer is one gap
+    return counted.groupBy(*s).agg(
+        F.min_by("_gap_us", F.struct(-F.col("_c"), F.col("_gap_us"))).alias("modal_gap_us"),
+        F.count(F.lit(1)).alias("distinct_gaps")).withColumn("regular", F.col("distinct_gaps") == 1)

@@ -350,10 +350,15 @@ HOURS_SQL = """hrs AS (SELECT DISTINCT user_id, event_type,
 
 
 def active_hours(spark, sf, event_type):
+    hours = all_active_hours(spark, sf)
+    return hours.filter(F.col("event_type") == event_type).select("user_id", "pos")
+
+
+def all_active_hours(spark, sf):
     e = read_table(spark, sf, "events", "user_id", "event_type", "ts")
     base = e.select(F.date_trunc("month", F.min("ts"))).scalar()
     pos = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(base)) / 3600000000).cast("long") + 1
-    return e.filter(F.col("event_type") == event_type).select("user_id", pos.alias("pos")).distinct()
+    return e.select("event_type", "user_id", pos.alias("pos")).distinct()
 
 
 RUNS_SQL = HOURS_SQL + """,

@@ -11,8 +11,10 @@ from ..operators import masks as mk
 from ..operators import sampling as sp
 from ..sources import files as fs
 from ..sources.tables import read_table
-from .commerce import HOURS_SQL, active_hours
+from .commerce import HOURS_SQL, all_active_hours
 from .common import SALES_SQL, sales
+from ..operators.quantiles import exact_median
+from ..session import materialize
 from .registry import query
 from .sampling import VEC_ORDER_SQL, vec_order
 
@@ -126,16 +128,13 @@ SELECT event_type, tertile, count(*) AS masks, avg(area) AS mean_area, median(ar
 def mask_area_by_class(spark, sf):
     """E21 (+ C12): per class (event type) mask areas (active hours per user) with mean,
     median, sum, count, split by global size tertile."""
-    parts = [active_hours(spark, sf, t).withColumn("event_type", F.lit(t))
-             for t in ("click", "view", "purchase", "signup", "error")]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    u = all_active_hours(spark, sf)  # every event type, one grouped pass
     a = u.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("area"))
-    t = qcut(a, "area", 3, "tertile", labels=[1, 2, 3])
-    return t.groupBy("event_type", F.col("tertile").cast("int").alias("tertile")).agg(
-        F.count(F.lit(1)).alias("masks"), F.avg("area").alias("mean_area"), F.median("area").alias("median_area"),
-        F.sum("area").alias("total_area"))
+    t = materialize(qcut(a, "area", 3, "tertile", labels=[1, 2, 3]).withColumn("tertile", F.col("tertile").cast("int")))
+    med = exact_median(t, "area", ["event_type", "tertile"], "median_area")
+    return t.groupBy("event_type", "tertile").agg(
+        F.count(F.lit(1)).alias("masks"), F.avg("area").alias("mean_area"), F.sum("area").alias("total_area")
+    ).join(med, ["event_type", "tertile"]).select("event_type", "tertile", "masks", "mean_area", "median_area", "total_area")
 
 
 @query("union_sources", """

@@ -10,6 +10,7 @@ from ..functions.binning import cut, equal_width_code, percent_rank_average
 from ..functions.dates import age_years, cyclic, haversine_km, log1p_clipped, expm1_clipped
 from ..operators import cleaning as cl
 from ..sources.tables import read_table
+from ..operators.quantiles import exact_median, exact_mode, quantile_values
 from .registry import query
 
 
@@ -141,13 +142,11 @@ SELECT CASE WHEN spend >= s75 AND n_orders >= o75 THEN 'Premium Unlimited' WHEN
             WHEN c_acctbal < b25 THEN 'Budget Saver' ELSE 'Basic' END AS package, count(*) AS customers
 FROM cs, q GROUP BY 1""")
 def package_catalogue(spark, sf):
-    """Six ordered rules with data-driven quantile thresholds (one percentile
-    aggregate -> literal thresholds -> CASE chain)."""
+    """Six ordered rules with data-driven quantile thresholds (exact quantiles
+    -> literal thresholds -> CASE chain)."""
     cs = cust_stats(spark, sf)
-    q = cs.agg(F.percentile("spend", 0.75).alias("s75"), F.percentile("spend", 0.5).alias("s50"),
-               F.percentile(F.col("n_orders").cast("double"), 0.75).alias("o75"),
-               F.percentile("c_acctbal", 0.25).alias("b25"))
-    s75, s50, o75, b25 = (q.select(c).scalar() for c in ("s75", "s50", "o75", "b25"))
+    q = quantile_values(cs, ["spend", "n_orders", "c_acctbal"], [0.25, 0.5, 0.75])
+    s75, s50, o75, b25 = (F.lit(x) for x in (q["spend"][2], q["spend"][1], q["n_orders"][2], q["c_acctbal"][0]))
     pkg = (F.when((F.col("spend") >= s75) & (F.col("n_orders") >= o75), "Premium Unlimited")
             .when(F.col("spend") >= s75, "High Spend").when(F.col("n_orders") >= o75, "Frequent Buyer")
             .when(F.col("spend") >= s50, "Standard Plus").when(F.col("c_acctbal") < b25, "Budget Saver")
@@ -283,8 +282,9 @@ SELECT (SELECT median(c_acctbal) FROM customer) AS c_acctbal, (SELECT median(c_n
 def representative_row(spark, sf):
     """Default row = median of every numeric column, mode of every categorical one."""
     c = read_table(spark, sf, "customer", "c_acctbal", "c_nationkey", "c_mktsegment")
-    return c.agg(F.median("c_acctbal").alias("c_acctbal"), F.median("c_nationkey").cast("double").alias("c_nationkey"),
-                 F.mode("c_mktsegment", True).alias("c_mktsegment"))
+    med = quantile_values(c, ["c_acctbal", "c_nationkey"], [0.5])
+    return exact_mode(c, "c_mktsegment").select(
+        *[F.lit(med[x][0]).cast("double").alias(x) for x in ("c_acctbal", "c_nationkey")], "c_mktsegment")
 
 
 @query("group_median_ratio", """
@@ -294,7 +294,7 @@ FROM customer JOIN g USING (c_mktsegment)""", floats=("diff_from_median", "ratio
 def group_median_ratio(spark, sf):
     """F7 + C34: difference from and ratio (3 dp) to the group median."""
     c = read_table(spark, sf, "customer", "c_custkey", "c_mktsegment", "c_acctbal")
-    g = c.groupBy("c_mktsegment").agg(F.median("c_acctbal").alias("med"))
+    g = exact_median(c, "c_acctbal", ["c_mktsegment"], "med")
     j = c.join(g, "c_mktsegment")
     return j.select("c_custkey", (F.col("c_acctbal") - F.col("med")).alias("diff_from_median"),
                     F.round(F.col("c_acctbal") / F.col("med"), 3).alias("ratio_to_median"))
@@ -311,8 +311,8 @@ def target_encoding(spark, sf):
     median of the group medians."""
     p = read_table(spark, sf, "part", "p_partkey", "p_brand", "p_retailprice")
     p = p.withColumn("split", F.when(F.col("p_partkey") % 4 == 0, "test").otherwise("train"))
-    g = p.filter(F.col("split") == "train").groupBy("p_brand").agg(F.median("p_retailprice").alias("enc"))
-    dflt = g.select(F.median("enc")).scalar()
+    g = exact_median(p.filter(F.col("split") == "train"), "p_retailprice", ["p_brand"], "enc")
+    dflt = F.lit(quantile_values(g, ["enc"], [0.5])["enc"][0])
     return p.join(g, "p_brand", "left").select("p_partkey", "split", F.coalesce("enc", dflt).alias("brand_encoded"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..operators import profile as pr
 from ..sources.tables import read_table
 from .common import SALES_SQL, sales
+from ..operators.quantiles import exact_quantiles, quantile_values
 from .registry import query
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -98,7 +99,7 @@ def top_decile_cohort(spark, sf):
     o = read_table(spark, sf, "orders", "o_custkey", "o_totalprice", "o_orderstatus")
     c = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.avg("o_totalprice").alias("spend"),
                                    F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("fulfilled"))
-    q = c.select(F.percentile(F.col("orders").cast("double"), 0.9)).scalar()
+    q = F.lit(quantile_values(c, ["orders"], [0.9])["orders"][0])
     stats = [F.count(F.lit(1)).alias("customers"), F.avg("orders").alias("avg_orders"),
              F.avg("spend").alias("avg_spend"), (F.avg("fulfilled") * 100).alias("fulfilled_pct")]
     # one pass: each customer contributes to "all" and, if in the top decile, to "top10"
@@ -114,8 +115,10 @@ FROM documents GROUP BY lang""", floats=("mean_chars", "median_chars", "p95_char
 def doc_length_summary(spark, sf):
     """Mean / median / p95 / max length per language."""
     d = read_table(spark, sf, "documents", "lang", "n_chars")
-    return d.groupBy("lang").agg(F.avg("n_chars").alias("mean_chars"), F.median("n_chars").alias("median_chars"),
-                                 F.percentile("n_chars", 0.95).alias("p95_chars"), F.max("n_chars").alias("max_chars"))
+    q = exact_quantiles(d, ["n_chars"], [0.5, 0.95], ["lang"]).select(
+        "lang", F.col("q")[0].alias("median_chars"), F.col("q")[1].alias("p95_chars"))
+    s = d.groupBy("lang").agg(F.avg("n_chars").alias("mean_chars"), F.max("n_chars").alias("max_chars"))
+    return s.join(q, "lang", "left").select("lang", "mean_chars", "median_chars", "p95_chars", "max_chars")
 
 
 @query("lineitem_describe", " UNION ALL ".join(f"""
