@@ -113,6 +113,7 @@ def review_features(text) -> dict[str, Column]:
         "n_exclaim": count_matches(t, "!"),
         "n_question": count_matches(t, r"\?"),
         "avg_word_len": F.try_divide(word_chars, words),
+        "upper_ratio": F.round(count_matches(t, r"\p{Lu}") / F.greatest(F.length(t), F.lit(1)), 3),
     }
 
 

@@ -174,6 +174,14 @@ def recall_grid_threshold(df: DataFrame, label: str, score: str, precision_floor
     return long.withColumn("eligible", F.col("precision") >= precision_floor)
 
 
+def recall_grid_choice(df: DataFrame, label: str, score: str, precision_floor: float,
+                       grid: Sequence[float] | None = None) -> DataFrame:
+    """The grid's eligible threshold with the highest recall, the lowest on ties (one row;
+    none if no threshold reaches the precision)."""
+    g = recall_grid_threshold(df, label, score, precision_floor, grid).where(F.col("eligible") & (F.col("tp") + F.col("fp") > 0))
+    return g.orderBy(F.desc("recall"), "threshold").limit(1).select("threshold", "recall", "precision")
+
+
 def regression_metrics(df: DataFrame, y: str, pred: str, mape_min_abs: float = 1.0,
                        group_cols: Sequence[str] = ()) -> DataFrame:
     """MAE, RMSE, R^2 and MAPE (rows with |y| < ``mape_min_abs`` left out of MAPE only)."""

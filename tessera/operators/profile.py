@@ -187,6 +187,17 @@ def imbalance(df: DataFrame, label: str, group: str | None = None) -> DataFrame:
     return out
 
 
+def class_split_inventory(df: DataFrame, label: str, split: str) -> DataFrame:
+    """M6: rows per class and split, their share of the split and of the class, and each
+    split's largest over smallest class.  Sums come from the small count table."""
+    g = df.groupBy(label, split).agg(F.count(F.lit(1)).alias("n"))
+    by_split = g.groupBy(split).agg(F.sum("n").alias("_s"), (F.max("n") / F.min("n")).alias("imbalance"))
+    by_label = g.groupBy(label).agg(F.sum("n").alias("_c"))
+    return (g.join(by_split, split).join(by_label, label)
+            .select(label, split, "n", (F.col("n") / F.col("_s")).alias("share_of_split"),
+                    (F.col("n") / F.col("_c")).alias("share_of_class"), "imbalance"))
+
+
 def class_means_minmax(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """Mean of each feature per class, min-max normalised across classes
     (long layout: label, feature, mean, scaled)."""

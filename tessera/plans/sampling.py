@@ -118,8 +118,8 @@ def resplit_pooled(spark, sf):
 SELECT doc_id, lang FROM documents ORDER BY {DOC_ORDER_SQL}, doc_id LIMIT 50""")
 def seeded_doc_sample(spark, sf):
     """Reproducible sample of 50 documents (hash order, a sampling operator)."""
-    d = read_table(spark, sf, "documents", "doc_id", "lang").withColumn("_o", doc_order())
-    return tk.top_k(d, ["_o", "doc_id"], 50).select("doc_id", "lang")
+    d = read_table(spark, sf, "documents", "doc_id", "lang")
+    return tk.seeded_sample(d, 50, 42, ["doc_id"], order=doc_order())
 
 
 @query("balanced_label_sample", f"""
@@ -128,5 +128,5 @@ SELECT doc_id, quality FROM (
 WHERE r <= 50""")
 def balanced_label_sample(spark, sf):
     """Class-balanced sample, 100 // 2 labelled documents per quality class."""
-    lab = read_table(spark, sf, "labels", "doc_id", "quality").withColumn("_o", doc_order())
-    return tk.top_k_per_group(lab, ["quality"], ["_o", "doc_id"], 50, "_r").select("doc_id", "quality")
+    lab = read_table(spark, sf, "labels", "doc_id", "quality")
+    return tk.balanced_sample(lab, "quality", 100, 42, ["doc_id"], order=doc_order()).select("doc_id", "quality")
