@@ -60,12 +60,13 @@ def gram_keys(buf: TextBuf) -> np.ndarray:
     for d in np.flatnonzero(lens):  # whole texts are copied
         x[buf.offs[d] + shift[d]:buf.offs[d + 1] + shift[d]] = LOWER[buf.data[buf.offs[d]:buf.offs[d + 1]]]
     key = np.zeros(len(x) - DEPTH, dtype=_U)
-    for k in range(DEPTH + 1):
-        key |= x[k:len(x) - DEPTH + k].astype(_U) << _U(8 * (DEPTH - k) + 16)
+    for k in range(DEPTH + 1):  # one byte at a time through the key's own eight
+        key <<= _U(8)
+        key |= x[k:len(x) - DEPTH + k]
+    key <<= _U(16)
     begin = buf.offs[:-1] + DEPTH * np.arange(docs)  # the place of a text's first symbol in ``key``
     ends = begin + lens
-    owner = np.repeat(np.arange(docs, dtype=_U), np.diff(np.append(begin, len(key))))
-    key |= owner
+    key |= np.repeat(np.arange(docs, dtype=np.uint16), np.diff(np.append(begin, len(key))))
     wanted = np.ones(len(key), dtype=bool)
     for k in range(1, DEPTH):
         wanted[ends + k] = False
@@ -90,12 +91,14 @@ class Asked:
         self.buf = TextBuf(column.chunk(0) if column.num_chunks else column.combine_chunks())
         self.n_parts = n_parts
         key = gram_keys(self.buf)
-        string = key >> _U(16)
-        fresh = np.concatenate([[True], string[1:] != string[:-1]]) if len(key) else np.zeros(0, bool)
-        self.gram_doc = (key & _U(0xFFFF)).astype(np.int64)
-        self.gram_of = np.cumsum(fresh) - 1
-        grams = string[fresh]
-        del key, string, fresh
+        self.gram_doc = (key & _U(0xFFFF)).astype(np.uint16)
+        key >>= _U(16)
+        fresh = np.ones(len(key), dtype=bool)
+        np.not_equal(key[1:], key[:-1], out=fresh[1:])
+        grams = key[fresh]
+        del key
+        self.gram_of = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+        del fresh
         hashes, self.word_doc = word_keys(self.buf)
         words, self.word_of = np.unique(hashes, return_inverse=True)
         self.order, self.cuts, self.keys = {}, {}, {}

@@ -27,8 +27,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch between the JVM and Python, so that a batch of long texts or of
+#: binary rows stays small beside the arrays made from it.
+ARROW_BATCH = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Whole table ``name``, projected at the scan."""
+    """Whole table ``name``, projected at the scan; Arrow batches of the session are bounded."""
+    bound_batches(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 

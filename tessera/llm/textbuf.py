@@ -58,7 +58,7 @@ class RangeHasher:
     def _grown(have: np.ndarray, step: int, n: int) -> np.ndarray:
         while len(have) < n:
             factor = np.uint64(pow(step, len(have), 1 << 64))
-            have = np.concatenate([have, have * factor])
+            have = np.concatenate([have, have[:n - len(have)] * factor])
         return have
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
@@ -66,7 +66,10 @@ class RangeHasher:
         self._pow = self._grown(self._pow, self.base, n)
         self._inv = self._grown(self._inv, self.inverse, n)
         out = np.zeros(n, dtype=np.uint64)
-        np.cumsum(self.table[data] * self._pow[:n - 1], out=out[1:])
+        terms = out[1:]
+        np.take(self.table, data, out=terms)
+        terms *= self._pow[:n - 1]
+        np.cumsum(terms, out=terms)
         return out
 
     def ranges(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
