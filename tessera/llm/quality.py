@@ -36,7 +36,12 @@ class Band:
     min_entropy: float = 0.45
 
 
-DEFAULT_BANDS: Mapping[str | None, Band] = {None: Band()}
+#: Least characters per token by language, below what clean text of that language shows with
+#: the byte-level vocabulary (clean minima on 3,243 labelled texts: en 1.99, de 1.85, es 1.64,
+#: fr 1.68); other languages take the wide default.
+DEFAULT_BANDS: Mapping[str | None, Band] = {
+    None: Band(), "en": Band(min_chars=1.95), "de": Band(min_chars=1.82), "es": Band(min_chars=1.6),
+    "fr": Band(min_chars=1.64)}
 
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True
