@@ -42,6 +42,8 @@ PERIOD = 133
 COVER = (0, 1, 3, 17, 21, 58, 65, 73, 100, 105, 111, 124)
 SAMPLE_LENGTH = LENGTH - PERIOD
 SAMPLE_BITS = 40
+#: Bytes of text whose suffixes one task holds at a time.
+BLOCK_BYTES = 2 << 20
 _HASH = RangeHasher(5)
 
 
@@ -110,7 +112,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     empty table gives no rows.  Very long texts are blocks of their own.
     """
     n_parts = power_of_two_parts(docs)
-    blocks = text_blocks(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", "suffix-texts")
+    blocks = text_blocks(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", "suffix-texts", BLOCK_BYTES)
 
     def sample_request(raw: bytes) -> Fingerprints:
         return sample_fingerprints(text_of(unpack_rows(raw), "text"), n_parts)[1]
