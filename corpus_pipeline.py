@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, neardup, packing, quality, queries, secrets
-from tessera.llm.shared import scratch, table
+from tessera.llm.shared import bound_batches, scratch, table
 
 #: Spark operators with models and automata: no SQL statement gives these rows.
 ORACLE_SQL = None
@@ -18,11 +18,13 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor a fertility band rejects."""
+    bound_batches(spark)
     return quality.keep_good(docs, *queries.vocabularies())
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word-shingle similarity 0.8 or more."""
+    bound_batches(spark)
     return neardup.keep_one(docs, shingle=5, percent=80)
 
 
@@ -33,6 +35,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; ``n_chars`` follows the text."""
+    bound_batches(spark)
     out = secrets.redact(docs)
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
@@ -43,6 +46,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, with their token ids, in sequences of at most 2048 tokens."""
+    bound_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -20,6 +20,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .textbuf import give_back, slices
+
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 60_000
 
@@ -55,7 +57,6 @@ def unpack_rows(raw: bytes) -> pa.Table:
 def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Table]]:
     """``(block number, rows)`` with about ``limit`` bytes of text (one text at least) each;
     numbers are unique over tasks."""
-    from .textbuf import slices
     task = TaskContext.get()
     number = (task.partitionId() if task else 0) << 32
     held, size, rows = [], 0, 0
@@ -105,6 +106,8 @@ def streamed(df: DataFrame, deal: list[str], order: list[str],
                 held, size = [], 0
         if held:
             yield to_batch(held, schema)
+        held = []
+        give_back()
 
     return df.repartition(*deal).sortWithinPartitions(*order).mapInArrow(run, ddl)
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbuf import TextBuf, segment_sums, slices
+from .textbuf import TextBuf, give_back, segment_sums, slices
 from .wordtok import json_tokenizer, word_units
 
 CAPACITY = 2048
@@ -120,8 +120,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", te
                     yield out
                     seq += used
                     keys, ids, lens, held = [], [], [], 0
+        cache.clear()
         if held:
             yield flush(keys, ids, np.concatenate(lens), seq)[0]
+        keys, ids, lens = [], [], []
+        give_back()
 
     types = dict(docs.dtypes)
     ddl = (f"`{key}` {types[key]}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import with_extra
-from .textbuf import NOT_SPACE, TextBuf, doc_of, mix64, segment_sums, slices
+from .textbuf import NOT_SPACE, TextBuf, doc_of, give_back, mix64, segment_sums, slices
 from .wordtok import piece_tokenizer, rank_tokenizer, word_hashes
 
 
@@ -145,6 +145,9 @@ def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path
                 fields = list(schema)[len(carried):]
                 yield pa.RecordBatch.from_arrays(
                     [col[c] for c in carried] + [pa.array(v, f.type) for v, f in zip(values, fields)], names=schema.names)
+        ranks.clear()
+        pieces.clear()
+        give_back()
 
     return docs.select(*[F.col(c) for c in cols]).mapInArrow(run, ddl)
 

@@ -1,8 +1,9 @@
 """Token ids of whole texts through a cache of words.
 
 The public tokenizers used here never merge across white space, so the ids of a text are
-the ids of its words in order.  Each distinct word is encoded once per Python worker (the
-cache is dropped when it holds ``MAX_WORDS`` words) and ids are laid out with numpy.
+the ids of its words in order.  Each distinct word is encoded once per task (the
+cache is dropped when it holds ``MAX_WORDS`` words, and when a task ends, so that a worker
+does not carry it into other stages) and ids are laid out with numpy.
 """
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ import numpy as np
 
 from .textbuf import RangeHasher, TextBuf
 
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 _HASH = RangeHasher(7)
 _CACHES: dict[str, "WordCache"] = {}
 
@@ -24,9 +25,9 @@ class WordCache:
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
         self.encode = encode
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.known: dict[int, int] = {}
         self.size = self.used = 0
         self.starts = np.zeros(1024, dtype=np.int64)
@@ -58,7 +59,7 @@ class WordCache:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if self.size > MAX_WORDS:
-            self._clear()
+            self.clear()
         keys = keys.tolist()
         new = [i for i, k in enumerate(keys) if k not in self.known]
         if new:
