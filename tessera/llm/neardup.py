@@ -13,8 +13,11 @@ limit are linked, and components of links are groups.
 3. Stars.  In every node the document that shares most nodes with others is compared with
    all members: edges grow with the members, not with their square, and a group of thousands
    of copies of one text falls into one component at once.
-4. Small nodes, and what is left of large ones, are compared exhaustively: every pair of
-   different components that share a node.  A large node is dealt out in blocks of members.
+4. Small nodes, and what is left of large ones, are compared exhaustively on signatures: every
+   pair of different components that share a node.  A large node is dealt out in blocks of
+   members.  One round reports pairs that are almost surely links (one of them stands for the
+   others between the same two components of a node); a second one reports every pair that
+   is left, in the first node that it shares.
 5. Links are confirmed on full sets; components by alternating large and small stars.
 
 A pair with similarity s stays together down to level k of a tree with probability
@@ -34,11 +37,14 @@ from pyspark.sql import functions as F
 from .exchange import squeeze, streamed, unsqueeze
 from .packing import _arrow_type
 from .shared import stored
-from .textbuf import RangeHasher, TextBuf, mix64, slices
-
-COORDS, TREES = 128, 16
-#: Signatures must agree in this share of coordinates; five standard deviations below 0.8.
-MARGIN = 0.18
+from .textbuf import RangeHasher, TextBuf, give_back, mix64, slices
+
+#: Minwise tokens: the first ``TREE_COORDS`` keep 16 bits and grow the trees, the others 8.
+COORDS, TREE_COORDS, TREES = 512, 128, 16
+SIG_BYTES = 2 * TREE_COORDS + COORDS - TREE_COORDS
+#: Deviations below the limit at which a pair's share of agreeing coordinates rules it out (one
+#: pair in 4,000 at the limit itself), and above it at which the pair counts as almost sure.
+DEVIATIONS = 3.5
 #: Members of a node that one task compares exhaustively.
 NODE_BLOCK = 1024
 STAR_BLOCKS = 32
@@ -74,12 +80,25 @@ def shingle_sets(buf: TextBuf, k: int) -> list[np.ndarray]:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the minwise token of each coordinate."""
+    """The minwise token of each coordinate: 16 bits for the trees' ones, then 8."""
     x = (shingles >> _U(32)).astype(np.uint32)
     least = np.full(COORDS, 0xFFFFFFFF, dtype=np.uint32)
-    for i in range(0, len(x), 4096):
-        np.minimum(least, (x[i:i + 4096, None] * _A + _B).min(axis=0), out=least)
-    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
+    for i in range(0, len(x), 512):
+        np.minimum(least, (x[i:i + 512, None] * _A + _B).min(axis=0), out=least)
+    mixed = least * np.uint32(0x9E3779B1)
+    return np.concatenate([(mixed[:TREE_COORDS] >> np.uint32(16)).astype("<u2").view(np.uint8),
+                           (mixed[TREE_COORDS:] >> np.uint32(24)).astype(np.uint8)])
+
+
+def split_signatures(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """16-bit and 8-bit tokens of packed signatures, a row each."""
+    whole = np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(-1, SIG_BYTES)
+    return np.ascontiguousarray(whole[:, :2 * TREE_COORDS]).view("<u2"), whole[:, 2 * TREE_COORDS:]
+
+
+def deviation(percent: int, coords: int) -> float:
+    s = percent / 100
+    return math.sqrt(s * (1 - s) / coords)
 
 
 def recall(s: float, depth: int, trees: int = TREES) -> float:
@@ -98,8 +117,8 @@ def chosen_paths(signatures: np.ndarray, depth: int, trees: int = TREES) -> tupl
         node = np.full(len(row), mix64(np.array([t + 1], dtype=_U))[0])
         for _ in range(depth):
             pick = mix64(node)
-            first = (pick % _U(COORDS)).astype(np.int64)
-            second = ((pick >> _U(20)) % _U(COORDS)).astype(np.int64)
+            first = (pick % _U(TREE_COORDS)).astype(np.int64)
+            second = ((pick >> _U(20)) % _U(TREE_COORDS)).astype(np.int64)
             also = ((pick >> _U(40)) & _U(3) == 0) & (second != first)
             row = np.concatenate([row, row[also]])
             coord = np.concatenate([first, second[also]])
@@ -128,6 +147,7 @@ def signatures_of(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(hi, pa.int64()),
                      pa.array(lo, pa.int64()),
                      pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())], schema=schema)
+        give_back()
 
     kind = dict(docs.dtypes)[key]
     return docs.select(F.col(key).alias("id"), F.col(text).alias(text)).mapInArrow(
@@ -142,8 +162,7 @@ def tree_nodes(vertices: DataFrame, depth: int, kind: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                sigs = np.stack([np.frombuffer(s.as_py(), np.uint16) for s in part.column(2)])
-                row, node = chosen_paths(sigs, depth)
+                row, node = chosen_paths(split_signatures(part.column(2).to_pylist())[0], depth)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node.view(np.int64)), part.column(0).take(take), part.column(1).take(take)], schema=schema)
@@ -162,8 +181,8 @@ def likely(pairs: DataFrame, vertices: DataFrame, least: float, kind: str) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, COORDS) for c in batch.columns[2:])
-                ok = pa.array((x == y).mean(axis=1) >= least)
+                (x, p), (y, q) = (split_signatures(c.to_pylist()) for c in batch.columns[2:])
+                ok = pa.array((x == y).sum(axis=1) + (p == q).sum(axis=1) >= least * COORDS)
                 yield pa.RecordBatch.from_arrays(batch.columns[:2], schema=schema).filter(ok)
 
     return both.mapInArrow(run, f"a {kind}, b {kind}").distinct()
@@ -247,9 +266,10 @@ def star_pairs(nodes: DataFrame, ratio: float) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def mixed_pairs(nodes: DataFrame, labels: DataFrame, vertices: DataFrame, ratio: float, least: float,
-                kind: str) -> DataFrame:
-    """All pairs of different components that share a node and may be similar enough.
+def mixed_pairs(nodes: DataFrame, labels: DataFrame, vertices: DataFrame, percent: int, depth: int,
+                kind: str, joining: bool) -> DataFrame:
+    """Pairs of different components that share a node and may be similar enough: all of them,
+    or with ``joining`` almost sure links, as many as join the components of a node.
 
     A node whose members are in one component needs no more work.  In the others, members
     outside the node's largest component meet all members; both are dealt into blocks of
@@ -281,18 +301,51 @@ def mixed_pairs(nodes: DataFrame, labels: DataFrame, vertices: DataFrame, ratio:
              .join(vertices.select("id", "sig"), "id"))
     id_type = _arrow_type(vertices, "id")
     schema = pa.schema([pa.field("a", id_type), pa.field("b", id_type)])
+    limit = percent / 100 + (1 if joining else -1) * DEVIATIONS * deviation(percent, COORDS)
+    least = limit * COORDS
+    rough = (min(limit, percent / 100) - 5 * deviation(percent, TREE_COORDS)) * TREE_COORDS
 
     def compared(group: list[dict]) -> Iterator[tuple]:
-        sigs = np.stack([np.frombuffer(r["sig"], np.uint16) for r in group])
+        wide, narrow = split_signatures([r["sig"] for r in group])
         n = np.array([r["n"] for r in group])
         _, label = np.unique([r["label"] for r in group], return_inverse=True)
+        found = []
         for i in range(len(group) - 1):
-            other = np.flatnonzero((label[i + 1:] != label[i]) & (np.minimum(n[i + 1:], n[i]) >= ratio * np.maximum(n[i + 1:], n[i])))
+            rest = n[i + 1:]
+            other = i + 1 + np.flatnonzero((label[i + 1:] != label[i])
+                                           & (100 * np.minimum(rest, n[i]) >= percent * np.maximum(rest, n[i])))
+            if len(other):
+                agree = (wide[other] == wide[i]).sum(axis=1)
+                other, agree = other[agree >= rough], agree[agree >= rough]
             if len(other):
-                other = other[(sigs[i + 1 + other] == sigs[i]).mean(axis=1) >= least]
-                for j in (i + 1 + other).tolist():
-                    a, b = sorted((group[i]["id"], group[j]["id"]))
-                    yield a, b
+                agree = agree + (narrow[other] == narrow[i]).sum(axis=1)
+                found += [(-int(c), i, j) for c, j in zip(agree[agree >= least], other[agree >= least].tolist())]
+        if not found:
+            return
+        if joining:
+            parent = list(range(int(label.max()) + 1))
+
+            def root(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for _, i, j in sorted(found):
+                x, y = root(label[i]), root(label[j])
+                if x != y:
+                    parent[x] = y
+                    yield tuple(sorted((group[i]["id"], group[j]["id"])))
+            return
+        met = sorted({k for _, i, j in found for k in (i, j)})
+        row, node = chosen_paths(wide[met], depth)
+        row, node = row[node < here_of(group)], node[node < here_of(group)]
+        order = np.argsort(row, kind="stable")
+        cuts = np.searchsorted(row[order], np.arange(len(met) + 1))
+        earlier = {k: frozenset(node[order[cuts[r]:cuts[r + 1]]].tolist()) for r, k in enumerate(met)}
+        for _, i, j in found:
+            if earlier[i].isdisjoint(earlier[j]):  # this is the first node that both reach
+                yield tuple(sorted((group[i]["id"], group[j]["id"])))
 
     def run(rows: Iterator[dict]) -> Iterator[tuple]:
         at, group = None, []
@@ -308,6 +361,10 @@ def mixed_pairs(nodes: DataFrame, labels: DataFrame, vertices: DataFrame, ratio:
     return streamed(dealt, order, order, run, f"a {kind}, b {kind}", schema, 5000).distinct()
 
 
+def here_of(group: list[dict]) -> np.uint64:
+    return np.int64(group[0]["node"]).view(np.uint64)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
                     trees: int = TREES) -> DataFrame:
     """Per document row: ``doc_id, n_shingles, component_id`` (smallest id of its group), ``kept``.
@@ -325,17 +382,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     vertices = classes.where("id is not null").select("id", "n", "sig")
     count = vertices.count()
     depth = max(2, math.ceil(math.log(max(count, 2)) / math.log(20)))
-    ratio, least = percent / 100, percent / 100 - MARGIN
+    ratio, least = percent / 100, percent / 100 - DEVIATIONS * deviation(percent, COORDS)
     reached = tree_nodes(vertices, depth, kind)
     sizes = reached.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     nodes = stored(reached.join(sizes, "node"), "neardup-nodes")
     stars = stored(likely(star_pairs(nodes, ratio), vertices, least, kind), "neardup-stars")
     links = stored(confirmed(stars, docs, key, text, shingle, percent, kind), "neardup-links")
-    mixed = mixed_pairs(nodes, components(links), vertices, ratio, least, kind)
+    groups = components(links)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stored(mixed.join(tried, ["a", "b"], "left_anti"), "neardup-more")
-    more_links = stored(confirmed(more, docs, key, text, shingle, percent, kind), "neardup-links")
-    groups = components(links.unionByName(more_links))
+    for joining in (True, False):
+        mixed = mixed_pairs(nodes, groups, vertices, percent, depth, kind, joining)
+        more = stored(mixed.join(tried, ["a", "b"], "left_anti"), "neardup-more")
+        links = stored(links.unionByName(confirmed(more, docs, key, text, shingle, percent, kind)), "neardup-links")
+        groups = components(links)
+        tried = tried.unionByName(more)
     named = (classes.select("hi", "lo", "id").join(groups, "id", "left")
              .select("hi", "lo", F.coalesce("component", "id").alias("component")))
     out = rows.select("id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
