@@ -5,8 +5,10 @@ then three measures from public vocabularies over the document's words:
 
 * characters per token of a byte-level vocabulary,
 * share of byte-fallback tokens of a SentencePiece vocabulary,
-* entropy (bits) of the document's SentencePiece tokens, relative to the most that its
-  number of tokens allows.
+* entropy (bits) of the document's SentencePiece tokens, relative to the most that their
+  number allows: over the whole text, and as the mean over windows of at most
+  ``ENTROPY_WINDOW`` tokens that cover it.  Bands judge the latter: a language's entropy
+  saturates while log2 of the number grows, so the former falls with the length of any text.
 
 Text of a language a vocabulary knows stays within a band of each; shouting, noise and
 endless repetition leave it.  Bands are per language with one default, by parameter.
@@ -29,7 +31,8 @@ from .wordtok import piece_tokenizer, rank_tokenizer, word_hashes
 @dataclass(frozen=True)
 class Band:
     """A document is rejected outside ``[min_chars, max_chars]`` characters per token, above
-    ``max_fallback`` byte-fallback share, or below ``min_entropy`` relative token entropy."""
+    ``max_fallback`` byte-fallback share, or below ``min_entropy`` mean relative entropy of its
+    token windows."""
     min_chars: float = 1.2
     max_chars: float = 6.5
     max_fallback: float = 0.25
@@ -43,6 +46,8 @@ DEFAULT_BANDS: Mapping[str | None, Band] = {
     None: Band(), "en": Band(min_chars=1.95), "de": Band(min_chars=1.82), "es": Band(min_chars=1.6),
     "fr": Band(min_chars=1.64)}
 
+ENTROPY_WINDOW = 256
+
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 LINE = np.ones(256, dtype=bool)
@@ -92,23 +97,34 @@ def relative_entropy(ids: np.ndarray, per_doc: np.ndarray) -> np.ndarray:
     return np.where(per_doc > 1, bits / np.log2(np.maximum(per_doc, 2)), 1.0)
 
 
+def window_entropy(ids: np.ndarray, per_doc: np.ndarray, window: int = ENTROPY_WINDOW) -> np.ndarray:
+    """Mean relative entropy of a text's consecutive windows: the fewest of at most ``window``
+    tokens that cover it, equal in size but for one token (so none is a short rest)."""
+    parts = np.maximum(-(-per_doc // window), 1)
+    doc = np.repeat(np.arange(len(per_doc)), parts)
+    k = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+    sizes = per_doc[doc] * (k + 1) // parts[doc] - per_doc[doc] * k // parts[doc]
+    return np.bincount(doc, weights=relative_entropy(ids, sizes), minlength=len(per_doc)) / parts
+
+
 def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path: str,
                   key: str = "doc_id", text: str = "text", lang: str = "lang",
                   bands: Mapping[str | None, Band] = DEFAULT_BANDS, keep_columns: tuple[str, ...] = ()) -> DataFrame:
     """Measures and verdict per document: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, chars_per_token, fallback_share, token_entropy, kept``.
+    n_repeat_words, base_failed, chars_per_token, fallback_share, token_entropy, window_entropy,
+    kept``.
 
     ``kept`` is false if the base rule fails (fewer than 50 words, or more than half of the
     words in repeated windows), else the bands' verdict.  A null text has no words (and so
     fails the base rule); a text without tokens has 0 characters per token, no fallback
-    and entropy 1; a null or unlisted language takes the default band; rows with null or
+    and entropies 1; a null or unlisted language takes the default band; rows with null or
     repeated keys are judged one by one; other columns are ignored unless named in
     ``keep_columns``; an empty table gives no rows.
     """
     cols = [key, text, lang, *[c for c in keep_columns if c not in (key, text, lang)]]
     carried = [c for c in cols if c == key or c in keep_columns]
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    measures = ["chars_per_token", "fallback_share", "token_entropy"]
+    measures = ["chars_per_token", "fallback_share", "token_entropy", "window_entropy"]
     schema = pa.schema([pa.field(c, pa.null()) for c in carried]
                        + [pa.field(c, pa.int64()) for c in counts] + [pa.field("base_failed", pa.bool_())]
                        + [pa.field(c, pa.float64()) for c in measures] + [pa.field("kept", pa.bool_())])
@@ -137,11 +153,12 @@ def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path
                 chars = word_chars / np.maximum(rank_tokens, 1)
                 owner = np.repeat(np.arange(buf.n), piece_tokens)
                 fallback = np.bincount(owner[pieces.is_byte[ids]], minlength=buf.n) / np.maximum(piece_tokens, 1)
-                entropy = relative_entropy(ids, piece_tokens)
+                entropy, windows = relative_entropy(ids, piece_tokens), window_entropy(ids, piece_tokens)
                 band = [bands.get(x, default) for x in col[lang].to_pylist()]
                 limit = np.array([(b.min_chars, b.max_chars, b.max_fallback, b.min_entropy) for b in band]).reshape(-1, 4).T
-                kept = ~failed & (chars >= limit[0]) & (chars <= limit[1]) & (fallback <= limit[2]) & (entropy >= limit[3])
-                values = [n_words, word_chars, symbols, duplicate_lines(buf), repeat, failed, chars, fallback, entropy, kept]
+                kept = ~failed & (chars >= limit[0]) & (chars <= limit[1]) & (fallback <= limit[2]) & (windows >= limit[3])
+                values = [n_words, word_chars, symbols, duplicate_lines(buf), repeat, failed, chars, fallback, entropy, windows,
+                          kept]
                 fields = list(schema)[len(carried):]
                 yield pa.RecordBatch.from_arrays(
                     [col[c] for c in carried] + [pa.array(v, f.type) for v, f in zip(values, fields)], names=schema.names)

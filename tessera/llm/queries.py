@@ -78,7 +78,7 @@ def op8_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_tokeniser_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, fertility measures and the verdict for every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return quality.quality_rules(docs, *vocabularies())
+    return quality.quality_rules(docs, *vocabularies()).drop("window_entropy")
 
 
 @query("op10_cost_balanced_packing")

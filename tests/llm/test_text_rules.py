@@ -110,6 +110,36 @@ def test_quality_counts_and_measures(request, source):
         assert not (r.base_failed and r.kept)
 
 
+def test_entropy_verdict_does_not_depend_on_length(spark, documents):
+    clean = [r.text for r in quality.keep_good(documents.where("lang = 'de'"), *queries.vocabularies()).orderBy("doc_id").collect()]
+    clean = [t for t in dict.fromkeys(clean) if len(t) < 2000]
+    long = " ".join(clean) + " "
+    rng = np.random.default_rng(5)
+    words = long.split()
+    while len(long) < 700_000:  # the same words, new order: the same language at any length
+        long += " ".join(rng.permutation(words)) + " "
+    noise = "ab cd " * 20 + " ".join("ab" if b else "cd" for b in rng.integers(0, 2, 4000))
+    docs = spark.createDataFrame([(1, long, "de"), (2, long[:60_000], "de"), (3, noise, "de")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality_rules(docs, *queries.vocabularies()).collect()}
+    assert got[1].token_entropy < 0.45 and got[1].kept and got[2].kept
+    assert got[1].window_entropy == pytest.approx(got[2].window_entropy, abs=0.02)
+    assert got[3].window_entropy < 0.45 and not got[3].kept
+
+
+def test_windows_cover_every_token():
+    ids, per_doc = np.arange(1000) % 7, np.array([0, 1, 256, 257, 486])
+    parts = [[], [1], [256], [128, 129], [243, 243]]
+    want, at = [], 0
+    for sizes in parts:
+        each = []
+        for n in sizes:
+            each.append(quality.relative_entropy(ids[at:at + n], np.array([n]))[0])
+            at += n
+        want.append(np.mean(each) if each else 1.0)
+    assert at == len(ids)
+    assert quality.window_entropy(ids, per_doc) == pytest.approx(want)
+
+
 def test_quality_empty(nothing):
     assert quality.quality_rules(nothing, *queries.vocabularies()).count() == 0
 
