@@ -32,20 +32,55 @@ from .wordtok import piece_tokenizer, rank_tokenizer, word_hashes
 class Band:
     """A document is rejected outside ``[min_chars, max_chars]`` characters per token, above
     ``max_fallback`` byte-fallback share, or below ``min_entropy`` mean relative entropy of its
-    token windows."""
-    min_chars: float = 1.2
+    token windows.
+
+    The least characters per token are lowered by the share ``slack / sqrt(tokens)``, since
+    their mean spreads that much more the fewer tokens it has.  ``min_chars`` None takes them from the
+    text's script: the harmonic mean of ``SCRIPT_FLOORS`` over its characters.  Then also
+    characters of scripts that the SentencePiece vocabulary knows in part (``SPELLED``) may fall
+    back to bytes, and ``min_entropy`` is halved for the share of tokens that do."""
+    min_chars: float | None = None
     max_chars: float = 6.5
     max_fallback: float = 0.25
     min_entropy: float = 0.45
+    slack: float = 1.25
 
 
-#: Least characters per token by language, below what clean text of that language shows with
-#: the byte-level vocabulary (clean minima on 3,243 labelled texts: en 1.99, de 1.85, es 1.64,
-#: fr 1.68); other languages take the wide default.
+#: Least characters per token by language, of long texts, with the byte-level vocabulary (means
+#: of clean labelled texts: en 2.24, de 2.04, es 1.77, fr 1.85; standard deviation 0.9 to 1.0
+#: over the root of the tokens); other languages go by script.
 DEFAULT_BANDS: Mapping[str | None, Band] = {
     None: Band(), "en": Band(min_chars=1.95), "de": Band(min_chars=1.82), "es": Band(min_chars=1.6),
     "fr": Band(min_chars=1.64)}
 
+#: First bytes of UTF-8 characters and the least characters per token of such text.  The
+#: vocabulary spells many scripts byte by byte, with a token more for each word.
+SCRIPT_FLOORS = (
+    (0x00, 0x7F, 1.2),   # ASCII
+    (0xC2, 0xC9, 0.5),   # further Latin letters
+    (0xCA, 0xCD, 0.4),   # phonetic letters, combining marks
+    (0xCE, 0xCF, 0.5),   # Greek
+    (0xD0, 0xD3, 0.45),  # Cyrillic
+    (0xD4, 0xD5, 0.35),  # Armenian
+    (0xD6, 0xD7, 0.5),   # Hebrew
+    (0xD8, 0xDB, 0.45),  # Arabic
+    (0xDC, 0xDF, 0.35),  # Syriac, Thaana, N'Ko
+    (0xE0, 0xEF, 0.25),  # three bytes: Indic, Thai, Georgian, Ethiopic, Han, kana, Hangul and more
+    (0xF0, 0xF4, 0.18),  # four bytes
+)
+#: First bytes of letters of which the SentencePiece vocabulary lacks a good part (not symbols,
+#: private use or, in four bytes, emoji).
+SPELLED = ((0xD2, 0xD6), (0xDA, 0xDB), (0xDC, 0xDF), (0xE0, 0xE1), (0xE3, 0xED), (0xF0, 0xF0))
+
+_PPM = 1_000_000
+MOST_TOKENS = np.zeros(256, dtype=np.int64)  # millionths of a token per character, by first byte
+for _a, _b, _floor in SCRIPT_FLOORS:
+    MOST_TOKENS[_a:_b + 1] = round(_PPM / _floor)
+MOST_TOKENS[~NOT_SPACE] = 0
+SPELLED_BYTES = np.zeros(256, dtype=np.int64)
+for _a, _b in SPELLED:
+    SPELLED_BYTES[_a:_b + 1] = 2 if _b < 0xE0 else 3 if _b < 0xF0 else 4
+
 ENTROPY_WINDOW = 256
 
 SYMBOL = np.zeros(256, dtype=bool)
@@ -61,6 +96,16 @@ def _range_counts(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return total[ends] - total[starts]
 
 
+def script_floors(buf: TextBuf, word_chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per text the least characters per token of its scripts, and the bytes of its characters
+    that may be spelled."""
+    floor = word_chars * _PPM / np.maximum(segment_sums(MOST_TOKENS[buf.data], buf.offs), 1)
+    spelled = SPELLED_BYTES[buf.data]
+    four = np.flatnonzero(buf.data == 0xF0)
+    spelled[four[buf.data[four + 1] == 0x9F]] = 0
+    return floor, segment_sums(spelled, buf.offs)
+
+
 def repeated_words(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """Words per text inside three-word windows that occur twice or more in that text."""
     doc = doc_of(firsts)
@@ -117,7 +162,7 @@ def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path
     ``kept`` is false if the base rule fails (fewer than 50 words, or more than half of the
     words in repeated windows), else the bands' verdict.  A null text has no words (and so
     fails the base rule); a text without tokens has 0 characters per token, no fallback
-    and entropies 1; a null or unlisted language takes the default band; rows with null or
+    and entropies 1; a null or unlisted language takes the default band (by script); rows with null or
     repeated keys are judged one by one; other columns are ignored unless named in
     ``keep_columns``; an empty table gives no rows.
     """
@@ -155,8 +200,14 @@ def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path
                 fallback = np.bincount(owner[pieces.is_byte[ids]], minlength=buf.n) / np.maximum(piece_tokens, 1)
                 entropy, windows = relative_entropy(ids, piece_tokens), window_entropy(ids, piece_tokens)
                 band = [bands.get(x, default) for x in col[lang].to_pylist()]
-                limit = np.array([(b.min_chars, b.max_chars, b.max_fallback, b.min_entropy) for b in band]).reshape(-1, 4).T
-                kept = ~failed & (chars >= limit[0]) & (chars <= limit[1]) & (fallback <= limit[2]) & (windows >= limit[3])
+                limit = np.array([(np.nan if b.min_chars is None else b.min_chars, b.max_chars, b.max_fallback,
+                                   b.min_entropy, b.slack) for b in band]).reshape(-1, 5).T
+                floor, spelled = script_floors(buf, word_chars)
+                by_script = np.isnan(limit[0])
+                least = np.where(by_script, floor, limit[0]) * (1 - limit[4] / np.sqrt(np.maximum(rank_tokens, 1)))
+                allowed = np.where(by_script, np.minimum(spelled / np.maximum(piece_tokens, 1), fallback), 0)
+                kept = (~failed & (chars >= least) & (chars <= limit[1]) & (fallback - allowed <= limit[2])
+                        & (windows >= limit[3] * (1 - allowed / 2)))
                 values = [n_words, word_chars, symbols, duplicate_lines(buf), repeat, failed, chars, fallback, entropy, windows,
                           kept]
                 fields = list(schema)[len(carried):]

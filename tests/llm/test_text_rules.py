@@ -140,6 +140,65 @@ def test_windows_cover_every_token():
     assert quality.window_entropy(ids, per_doc) == pytest.approx(want)
 
 
+CLEAN = {
+    "ru": "Вчера вечером мы вернулись домой поздно, потому что поезд задержался на границе. Дети уже спали, а бабушка сидела у окна и читала старую книгу при свете лампы. За окном шёл тихий снег, и во дворе не было ни одного человека.",
+    "uk": "Учора ввечері ми повернулися додому пізно, бо потяг затримався на кордоні. Діти вже спали, а бабуся сиділа біля вікна й читала стару книжку при світлі лампи. За вікном падав тихий сніг, і на подвір'ї не було жодної людини.",
+    "el": "Χθες το βράδυ γυρίσαμε αργά στο σπίτι, επειδή το τρένο καθυστέρησε στα σύνορα. Τα παιδιά κοιμόντουσαν ήδη και η γιαγιά καθόταν στο παράθυρο και διάβαζε ένα παλιό βιβλίο.",
+    "ar": "عدنا إلى البيت متأخرين مساء أمس لأن القطار تأخر عند الحدود. كان الأطفال قد ناموا، وكانت الجدة تجلس قرب النافذة وتقرأ كتابا قديما على ضوء المصباح.",
+    "he": "אתמול בערב חזרנו הביתה מאוחר כי הרכבת התעכבה בגבול. הילדים כבר ישנו, וסבתא ישבה ליד החלון וקראה ספר ישן לאור המנורה.",
+    "hi": "कल शाम हम देर से घर लौटे क्योंकि रेलगाड़ी सीमा पर रुक गई थी। बच्चे सो चुके थे और दादी खिड़की के पास बैठकर एक पुरानी किताब पढ़ रही थीं।",
+    "ko": "어제 저녁 기차가 국경에서 늦어져서 우리는 집에 늦게 돌아왔다. 아이들은 이미 자고 있었고 할머니는 창가에 앉아 등불 아래에서 오래된 책을 읽고 계셨다.",
+    "vi": "Tối hôm qua chúng tôi về nhà muộn vì chuyến tàu bị chậm ở biên giới. Bọn trẻ đã ngủ, còn bà ngồi bên cửa sổ đọc một cuốn sách cũ dưới ánh đèn.",
+    "ta": "நேற்று மாலை நாங்கள் தாமதமாக வீடு திரும்பினோம், ஏனெனில் ரயில் எல்லையில் நின்றுவிட்டது. குழந்தைகள் தூங்கிவிட்டார்கள், பாட்டி ஜன்னல் அருகே அமர்ந்து பழைய புத்தகம் படித்துக் கொண்டிருந்தார்.",
+    "am": "ትናንት ማታ ባቡሩ ድንበር ላይ ስለዘገየ ወደ ቤት ዘግይተን ተመለስን። ልጆቹ ተኝተው ነበር አያታችንም በመስኮቱ አጠገብ ተቀምጣ አሮጌ መጽሐፍ ታነብ ነበር።",
+    "hy": "Երեկ երեկոյան մենք ուշ վերադարձանք տուն, քանի որ գնացքը ուշացել էր սահմանին։ Երեխաները արդեն քնած էին, իսկ տատիկը նստած էր պատուհանի մոտ։",
+    "ka": "გუშინ საღამოს სახლში გვიან დავბრუნდით, რადგან მატარებელი საზღვართან შეჩერდა. ბავშვებს უკვე ეძინათ, ბებია კი ფანჯარასთან იჯდა და ძველ წიგნს კითხულობდა.",
+    "dv": "މިއަދު އަޅުގަނޑުމެން ގެއަށް އައީ ލަސްވެފައެވެ. ކުދިން ނިދާފައި ތިބި އިރު މާމަ ފޮތެއް ކިޔަން އިންނެވިއެވެ.",
+    "pl": "Wczoraj wieczorem wróciliśmy do domu późno, ponieważ pociąg opóźnił się na granicy. Dzieci już spały, a babcia siedziała przy oknie i czytała starą książkę przy świetle lampy.",
+}
+
+
+def shuffled(text, n_words, rng):
+    """``n_words`` words of a text: new order, same words."""
+    words, out = text.split(), []
+    while len(out) < n_words:
+        out += rng.permutation(words).tolist()
+    return " ".join(out[:n_words])
+
+
+@pytest.mark.parametrize("n_words", [60, 400])
+def test_clean_text_of_any_script_is_kept(spark, n_words):
+    rng = np.random.default_rng(11)
+    rows = [(i, shuffled(t, n_words, rng), lang) for i, lang in enumerate([None, "xx"]) for t in CLEAN.values()]
+    rows += [(2, shuffled(CLEAN["ru"] + " a clean English text in between " + CLEAN["ta"], n_words, rng), None)]
+    noise = " ".join("".join(map(chr, rng.integers(0x100, 0x250, 6))) for _ in range(n_words))
+    emoji = " ".join("".join(rng.choice(list("\U0001f600\U0001fae0\U0001fae1\U0001fae2\U0001fae3\ue000\ue001"), 4)) for _ in range(n_words))
+    rows += [(10, noise, None), (11, emoji, "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.quality_rules(docs, *queries.vocabularies(), keep_columns=("text",)).collect()
+    assert not [r for r in got if r.base_failed]
+    assert not [r for r in got if r.doc_id < 10 and not r.kept]
+    assert not [r for r in got if r.doc_id >= 10 and r.kept]
+
+
+def test_short_clean_texts_have_slack(spark, documents):
+    rng = np.random.default_rng(12)
+    rows = []
+    for lang in ("en", "de", "es", "fr"):
+        good = [r.text for r in quality.keep_good(documents.where(f"lang = '{lang}' and n_chars > 3000"), *queries.vocabularies())
+                .orderBy("doc_id").collect()]
+        words = " ".join(good).split()
+        assert len(words) > 300
+        rows += [(len(rows) + i, " ".join(rng.choice(words, 52)), lang) for i in range(3000)]
+    # Letters and digits at random: the language's floor still rejects them.
+    marks = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    rows += [(-1 - i, " ".join("".join(rng.choice(marks, 7)) for _ in range(60)), "es") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.quality_rules(docs, *queries.vocabularies()).collect()
+    assert not [(r.doc_id, r.chars_per_token) for r in got if r.doc_id >= 0 and not r.base_failed and not r.kept]
+    assert not [r.doc_id for r in got if r.doc_id < 0 and r.kept]
+
+
 def test_quality_empty(nothing):
     assert quality.quality_rules(nothing, *queries.vocabularies()).count() == 0
 
