@@ -39,6 +39,8 @@ CLASS = np.full(256, 255, dtype=np.uint8)
 CLASS[list(ALPHABET)] = np.arange(len(ALPHABET))
 MIN_MEAN_RATIO = 0.35
 MIN_CLASSES = 2
+MARKS = 62  # the first class of a mark
+NAME_PART = re.compile(rb"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]|[0-9]+")
 SAMPLES = 4096
 MARK = "[SECRET]"
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -106,12 +108,31 @@ def mean_ratio(token: bytes, random_models: tuple[np.ndarray, ...], ordinary_mod
     return float(max(m[before, now].mean() for m in random_models) - ordinary)
 
 
+def name_ratio(token: bytes, random_models: tuple[np.ndarray, ...], ordinary_model: np.ndarray) -> float:
+    """As ``mean_ratio`` over letters and digits, against the token read as a name: every part of it
+    (``camelCase``, ``ALL_CAPS``, digits) starts anew, in its own letters or in small ones, whichever
+    is likelier.  Change of case and marks alone then do not look random."""
+    now = CLASS[np.frombuffer(token, dtype=np.uint8)]
+    before = np.concatenate([[STATES - 1], now[:-1]])
+    counted = now < MARKS
+    ordinary = 0.0
+    for part in NAME_PART.findall(token):
+        both = [CLASS[np.frombuffer(x, dtype=np.uint8)] for x in {part, part.lower()}]
+        ordinary += max(ordinary_model[np.concatenate([[STATES - 1], x[:-1]]), x].sum() for x in both)
+    n = max(int(counted.sum()), 1)
+    return float(max(m[before, now][counted].sum() for m in random_models) - ordinary) / n
+
+
 def looks_random(token: bytes, random_models: tuple[np.ndarray, ...], ordinary_model: np.ndarray) -> bool:
-    """A ratio above the limit, letters and digits both present: a long word of one case
-    without digits is never reported, whatever its letters."""
+    """A ratio above the limit.  Tokens with fewer than ``MIN_CLASSES`` digits or others are judged
+    as names, the rest as they stand; a word of one case needs a digit, and digits a letter: no long
+    word of one case and no number is reported, whatever its characters."""
     digits = sum(48 <= b < 58 for b in token)
+    upper, lower = any(65 <= b < 91 for b in token), any(97 <= b < 123 for b in token)
     if digits < MIN_CLASSES or len(token) - digits < MIN_CLASSES:
-        return False
+        if not (upper and lower) and not (digits and (upper or lower)):
+            return False
+        return name_ratio(token, random_models, ordinary_model) >= MIN_MEAN_RATIO
     return mean_ratio(token, random_models, ordinary_model) >= MIN_MEAN_RATIO
 
 

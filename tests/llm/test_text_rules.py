@@ -293,6 +293,25 @@ def test_models_find_bare_keys_and_leave_words(spark, documents):
     assert not any(got[i] for i, _ in plain)
 
 
+def test_models_find_keys_with_few_digits_and_leave_names(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(2)
+    letters, digits = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), list("0123456789")
+    keys = ["".join(rng.permutation([*rng.choice(letters, n - d), *rng.choice(digits, d)]))
+            for n in (20, 32) for d in (0, 1) for _ in range(20)]
+    keys += ["".join(rng.permutation([*rng.choice(letters[26:], 27), "7"])) for _ in range(20)]
+    names = ["getElementsByClassName", "StackOverflowQuestionsTagged", "New-York-Times-Best-Seller", "NullPointerExceptionHandler",
+             "customer_address_line_number4", "SELECT.FROM.Where.GROUPBY", "qwrtzpsdfghjklyxcvbnmkjhgf", "20260102030405060708",
+             "QXZJKVWPQXZJKVWPQXZJKVWP"]
+    rows = [(10_000 + i, f"here it is {k} end") for i, k in enumerate(keys)]
+    rows += [(20_000 + i, f"see {n} there") for i, n in enumerate(names)]
+    docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: [s.kind for s in r.spans] for r in secrets.find_secrets(docs).where("doc_id >= 10000").collect()}
+    found = np.array([got[10_000 + i] == ["random"] for i in range(len(keys))]).reshape(5, 20).sum(axis=1)
+    assert (found >= 18).all(), found
+    assert not [n for i, n in enumerate(names) if got[20_000 + i]]
+
+
 def test_redaction_keeps_rows(spark):
     docs = spark.createDataFrame(SECRET_TEXTS, "doc_id long, text string")
     got = [(r.doc_id, r.text) for r in secrets.redact(docs).collect()]
