@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns, and character Markov models for what they miss.
 
 Pass 1 reads every text once.  It finds the base spans (``assign``, ``access``, ``hex``) and
-the candidate tokens: long unbroken runs of key characters.  From labelled samples it
-counts character transitions: strings inside base spans are random, the other tokens of
-the same alphabet are ordinary identifiers.  Counts are tables of fixed size, summed over
+the candidate tokens: long unbroken runs of key characters, whatever other characters they
+touch.  From labelled samples it counts character transitions: strings inside base spans are
+random, the other tokens of the same alphabet are ordinary identifiers, but for pieces of
+words with non-ASCII letters.  Counts are tables of fixed size, summed over
 the whole corpus.  A second random model learns from ``SAMPLES`` generated keys, since the
 kinds of key that a corpus labels (say, hex) need not be the kinds it hides.
 
@@ -37,6 +38,11 @@ ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-
 STATES = len(ALPHABET) + 1  # the last is the start of a token
 CLASS = np.full(256, 255, dtype=np.uint8)
 CLASS[list(ALPHABET)] = np.arange(len(ALPHABET))
+#: First bytes of non-ASCII letters of alphabets: two bytes but C2 (punctuation, symbols), and E0, E1.
+#: From E2 on there are punctuation, Han, kana, Hangul, full-width forms and emoji, beside which
+#: a token needs no space.
+LETTER_LEAD = np.zeros(256, dtype=bool)
+LETTER_LEAD[0xC3:0xE2] = True
 MIN_MEAN_RATIO = 0.35
 MIN_CLASSES = 2
 MARKS = 62  # the first class of a mark
@@ -59,14 +65,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def token_runs(buf: TextBuf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of key characters that touch no other letters (non-ASCII bytes are
-    part of a run, which then is no identifier and is left out)."""
-    starts, ends, firsts = buf.words((CLASS < 255) | (np.arange(256) >= 128))
-    foreign = np.concatenate([[0], np.cumsum(buf.data >= 128)])
-    plain = foreign[ends] == foreign[starts]
+def token_runs(buf: TextBuf) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of key characters: starts, ends, texts, and whether a run is whole, that is
+    touches no non-ASCII letter of a script that writes words apart (as ``Gr`` in ``Größe``)."""
+    starts, ends, firsts = buf.words(CLASS < 255)
     doc = np.repeat(np.arange(buf.n), np.diff(firsts))
-    return starts[plain], ends[plain], doc[plain]
+    whole = np.ones(len(starts), dtype=bool)
+    at = np.flatnonzero(ends < buf.offs[doc + 1])
+    whole[at] &= ~LETTER_LEAD[buf.data[ends[at]]]
+    at = np.flatnonzero(starts > buf.offs[doc])
+    lead = starts[at] - 1
+    for _ in range(3):  # back to the first byte of the character before
+        lead -= (buf.data[lead] & 0xC0) == 0x80
+    whole[at] &= ~LETTER_LEAD[buf.data[lead]]
+    return starts, ends, doc, whole
 
 
 def transitions(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -156,7 +168,7 @@ def scan(docs: DataFrame, key: str, text: str, keep_columns: tuple[str, ...]) ->
             for part in slices(batch, text):
                 column = part.column(part.schema.get_field_index(text))
                 buf = TextBuf(column)
-                starts, ends, doc = token_runs(buf)
+                starts, ends, doc, whole = token_runs(buf)
                 points = np.concatenate([[0], np.cumsum((buf.data & 0xC0) != 0x80)])
                 raw = buf.data.tobytes()
                 spans, values = [], []
@@ -171,7 +183,7 @@ def scan(docs: DataFrame, key: str, text: str, keep_columns: tuple[str, ...]) ->
                 touched = np.concatenate([[0], np.cumsum(hidden[:-1])])
                 free = touched[ends] == touched[starts]
                 long = free & (ends - starts >= MIN_CANDIDATE)
-                plain = free & (ends - starts >= MIN_ORDINARY)
+                plain = free & whole & (ends - starts >= MIN_ORDINARY)
                 ordinary_counts += transitions(buf.data, starts[plain], ends[plain])
                 # The labelled random strings: the last run of key characters of each base span.
                 if values:

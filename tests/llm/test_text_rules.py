@@ -312,6 +312,38 @@ def test_models_find_keys_with_few_digits_and_leave_names(spark):
     assert not [n for i, n in enumerate(names) if got[20_000 + i]]
 
 
+def test_keys_beside_other_characters(spark, documents):
+    rng = np.random.default_rng(3)
+    chars = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    around = [("\u201c", "\u201d"), ("\u00ab", "\u00bb"), ("clé \u2014", "\u2026"), ("密钥\uff1a", "\u3002"), ("私の鍵は", "です"), ("\U0001f511", "\U0001f511"),
+              ("ключ", "ключ"), ("é", "é"), ("\u00a0", "")]
+    rows = []
+    for i, (a, b) in enumerate(around):
+        rows.append((10_000 + i, a, "".join(rng.choice(chars, 32)), b))
+    docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(i, f"Größe {a}{k}{b} ende") for i, a, k, b in rows] + [(20_000, "Überbeschäftigungsverhältnismäßigkeitsprüfungen Größe “quoted”")],
+        "doc_id long, text string"))
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.find_secrets(docs).where("doc_id >= 10000").collect()}
+    for i, a, k, b in rows:
+        at = len("Größe " + a)
+        assert got[i] == [("random", at, at + 32)], (a, b)
+    assert not got[20_000]
+    redacted = {r.doc_id: r.text for r in secrets.redact(docs).where("doc_id >= 10000").collect()}
+    for i, a, k, b in rows:
+        assert redacted[i] == f"Größe {a}[SECRET]{b} ende"
+
+
+def test_runs_beside_letters_are_not_whole():
+    import pyarrow as pa
+    texts = ["Größe “abcd” «efgh» é", "ijkl", "дmnop qrst密uvwx", "yzab\u00e9", "cdef"]
+    buf = TextBuf(pa.array(texts))
+    starts, ends, doc, whole = secrets.token_runs(buf)
+    raw = buf.data.tobytes()
+    assert [(raw[a:b].decode(), int(d), bool(w)) for a, b, d, w in zip(starts, ends, doc, whole)] == [
+        ("Gr", 0, False), ("e", 0, False), ("abcd", 0, True), ("efgh", 0, True), ("ijkl", 1, True), ("mnop", 2, False),
+        ("qrst", 2, True), ("uvwx", 2, True), ("yzab", 3, False), ("cdef", 4, True)]
+
+
 def test_redaction_keeps_rows(spark):
     docs = spark.createDataFrame(SECRET_TEXTS, "doc_id long, text string")
     got = [(r.doc_id, r.text) for r in secrets.redact(docs).collect()]
