@@ -299,7 +299,8 @@ def _match(docs: DataFrame, automaton: SuffixAutomaton, key: str, text: str, kee
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                   min_share: int = 20, **kw) -> DataFrame:
     """Documents (all columns) without the contaminated ones: those with a hit and at least
-    one word in ``min_share`` hit.  The others are left as they are."""
+    one word in ``min_share`` hit.  The others are left as they are, with their hit spans
+    (``remove_spans`` cuts them)."""
     packed, keep, restore = with_extra(docs, (key, text))
     found = match_benchmark(packed, items, key, text, keep_columns=keep, **kw)
     return restore(found.where(~contaminated(min_share)))
