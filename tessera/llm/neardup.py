@@ -405,7 +405,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
-    """The documents (all columns) without those that are not the smallest id of their group.
-    Rows that share an id stay or go together; rows with a null id stay."""
-    gone = near_duplicates(docs, key, text, **kw).where("not kept").select(key).distinct()
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    """One row (all columns) of each group: that of the smallest id, null ids last, and any one of
+    several rows with that id.  Rows are told apart by a number written once, unless their
+    ids do that already."""
+    odd = docs.groupBy(F.col(key).alias("id")).count().where("id is null or count > 1")
+    if odd.isEmpty():
+        gone = near_duplicates(docs, key, text, **kw).where("not kept").select(key)
+        return docs.join(gone, key, "left_anti").select(*docs.columns)
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("_row"),
+                                  F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")), "neardup-rows")
+    field = F.col("_doc").getField
+    groups = near_duplicates(numbered.select("_row", field(text).alias("text")), "_row", "text", **kw)
+    ids = numbered.select("_row", field(key).alias("id"))
+    least = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_row")).alias("least")
+    first = groups.join(ids, "_row").groupBy("component_id").agg(least).select("least._row")
+    return numbered.join(first, "_row", "left_semi").select("_doc.*")

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import neardup
 
@@ -114,6 +115,22 @@ def test_large_nodes_are_dealt_in_blocks(spark, monkeypatch):
     assert got(df, shingle=2) == brute(rows_of(df), 2)
 
 
+def test_one_row_of_each_group_stays(spark, documents, tricky, nothing):
+    docs = documents.limit(60).withColumn("copy", F.lit(0))
+    once = Counter(r.text for r in neardup.keep_one(docs).collect())
+    twice = neardup.keep_one(docs.unionByName(docs.withColumn("copy", F.lit(1))))
+    assert twice.columns == docs.columns
+    kept = twice.collect()
+    assert Counter(r.text for r in kept) == once
+    assert {r.doc_id for r in kept} == {r.doc_id for r in neardup.keep_one(docs).collect()}
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (5, b), (3, a), (None, c), (None, c), (9, c), (None, "d " + b), (7, None), (7, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.text) for r in neardup.keep_one(df).collect())
+    assert got == Counter([(3, a), (5, b), (9, c), (7, None), (7, None), (8, "")])
+    assert neardup.keep_one(tricky).columns == tricky.columns and neardup.keep_one(nothing).count() == 0
+
+
 def test_recall_of_the_trees():
     assert neardup.recall(0.8, 5) > 0.9999 and neardup.recall(0.8, 9) > 0.999
     assert neardup.recall(0.1, 3) < 0.1
