@@ -1,13 +1,19 @@
 """Model-fitting queries.
 
-An iterative estimator's numbers have no SQL oracle, so these queries return what does:
-exact row counts of every split and fold, one prediction per row, and whether each fitted
-model clears a floor on rows it was not trained on (a floor that a constant prediction
-misses).  Metrics themselves come from the operators (``operators/evaluation.py``), which have
-oracles of their own.
+An iterative estimator's numbers have no SQL oracle, so the queries with one return what does:
+exact row counts of every split and fold, one prediction per row, and flags that SQL spells as
+true.  Those flags are weak: ``learned`` is about training rows and ``near_or_below_mean`` holds for
+a constant prediction, since the driver tables have no signal to learn (on sf0.001 every regressor's
+test R^2 is below 0, every classifier near chance).  What the operators compute - predictions,
+metrics, inertia, importances, scores - is returned by queries without oracle beside them
+(``ml_embedding_predictions``, ``ml_price_metrics``, ``ml_kmeans_search``, ``ml_oof_predictions``,
+``ml_importance_values``, ``ml_batch_scores``) and tested on tables with signal, against floors that a
+constant prediction misses.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
@@ -18,6 +24,7 @@ from pyspark.ml.feature import (CountVectorizer, IDF, MinMaxScaler, Normalizer,
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import log1p_clipped
@@ -63,27 +70,40 @@ def _counts(d) -> dict:
     return {r["split"]: r["count"] for r in d.groupBy("split").count().collect()}  # two rows
 
 
-@query("ml_embedding_classifiers", f"""
-WITH {EMB_SPLIT_SQL}
-SELECT model, n_train, n_test, n_test AS n_predicted, true AS learned
-FROM e, (VALUES ('logreg'), ('random_forest'), ('mlp')) AS m(model)""")
-def ml_embedding_classifiers(spark, sf):
-    """K1 (multinomial LR, L2) + K3 (random forest) + K6 (MLP 256-128-64) + K15 + L2: fitted on
-    the training rows of a stratified 20 % split; ``learned``: training accuracy above the
-    share of the largest class, for every model."""
+def embedding_models(spark, sf):
+    """Training and test rows of the embeddings, rows per split, and three fitted classifiers."""
     d = _emb(spark, sf)
     n = _counts(d)
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
     classes = int(train.select(F.max("label")).first()[0]) + 1
-    majority = train.groupBy("label").count().select(F.max("count")).first()[0] / n["train"]
     models = {
         "logreg": LogisticRegression(maxIter=50, regParam=0.01, family="multinomial"),
         "random_forest": RandomForestClassifier(numTrees=30, maxDepth=6, seed=42),
         "mlp": MultilayerPerceptronClassifier(layers=[64, 256, 128, 64, classes], maxIter=40, seed=42),
     }
+    return train, test, n, {name: est.fit(train) for name, est in models.items()}
+
+
+@query("ml_embedding_predictions", None)
+def ml_embedding_predictions(spark, sf):
+    """The rows behind ``ml_embedding_classifiers``: every model's prediction for every test row."""
+    _, test, _, models = embedding_models(spark, sf)
+    parts = [m.transform(test).select(F.lit(name).alias("model"), "vec_id", "label", "prediction") for name, m in models.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("ml_embedding_classifiers", f"""
+WITH {EMB_SPLIT_SQL}
+SELECT model, n_train, n_test, n_test AS n_predicted, true AS learned
+FROM e, (VALUES ('logreg'), ('random_forest'), ('mlp')) AS m(model)""")
+def ml_embedding_classifiers(spark, sf):
+    """K1 (multinomial LR, L2) + K3 (random forest) + K6 (MLP 256-128-64) + K15 + L2: fitted on
+    the training rows of a stratified 20 % split; ``learned``: training accuracy above the
+    share of the largest class, for every model."""
+    train, test, n, models = embedding_models(spark, sf)
+    majority = train.groupBy("label").count().select(F.max("count")).first()[0] / n["train"]
     rows = []
-    for name, est in models.items():
-        model = est.fit(train)
+    for name, model in models.items():
         acc = model.transform(train).select(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
         predicted = model.transform(test).where("prediction is not null").count()
         rows.append((name, n["train"], n["test"], predicted, acc > majority))
@@ -106,14 +126,8 @@ def _price_table(spark, sf):
 _REGRESSORS = ("linear", "ridge", "lasso", "elastic_net", "random_forest", "gbt")
 
 
-@query("ml_price_regressors", f"""
-WITH {PRICE_SPLIT_SQL}
-SELECT model, n_train, n_test, true AS near_or_below_mean FROM e, (VALUES {_names_sql(_REGRESSORS)}) AS m(model)""")
-def ml_price_regressors(spark, sf):
-    """K2 (linear / ridge / lasso / elastic net) + K3 + K4 (boosting stopped early on a validation
-    share of the training rows) on log1p(price), L5 metrics after the expm1 back-transform;
-    ``near_or_below_mean``: test RMSE at most 5 % above that of the mean (prices of unseen
-    lines are hardly predictable from these columns)."""
+def price_metrics(spark, sf):
+    """Rows per split, and per regressor the metrics of its test rows."""
     d = materialize(_price_table(spark, sf))
     n = _counts(d)
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
@@ -125,11 +139,31 @@ def ml_price_regressors(spark, sf):
               "random_forest": RandomForestRegressor(labelCol="y_log", numTrees=20, maxDepth=8, seed=42),
               "gbt": GBTRegressor(labelCol="y_log", maxIter=20, maxDepth=5, seed=42, validationTol=0.001,
                                   validationIndicatorCol="is_val")}
-    rows = []
+    found = {}
     for name, est in models.items():
         pred = est.fit(staged).transform(test)
-        m = ev.regression_metrics(pred, "y_log", "prediction").first()
-        rows.append((name, n["train"], n["test"], m["r2"] >= 1 - 1.05 ** 2))
+        found[name] = ev.regression_metrics(pred, "y_log", "prediction").first()
+    return n, found
+
+
+@query("ml_price_metrics", None)
+def ml_price_metrics(spark, sf):
+    """The numbers behind ``ml_price_regressors``: error and R^2 of every model on the test rows."""
+    _, found = price_metrics(spark, sf)
+    return spark.createDataFrame([(name, m["n"], m["mae"], m["rmse"], m["mape"], m["r2"]) for name, m in found.items()],
+                                 "model string, n long, mae double, rmse double, mape double, r2 double")
+
+
+@query("ml_price_regressors", f"""
+WITH {PRICE_SPLIT_SQL}
+SELECT model, n_train, n_test, true AS near_or_below_mean FROM e, (VALUES {_names_sql(_REGRESSORS)}) AS m(model)""")
+def ml_price_regressors(spark, sf):
+    """K2 (linear / ridge / lasso / elastic net) + K3 + K4 (boosting stopped early on a validation
+    share of the training rows) on log1p(price), L5 metrics after the expm1 back-transform;
+    ``near_or_below_mean``: test RMSE at most 5 % above that of the mean (prices of unseen
+    lines are hardly predictable from these columns)."""
+    n, found = price_metrics(spark, sf)
+    rows = [(name, n["train"], n["test"], m["r2"] >= 1 - 1.05 ** 2) for name, m in found.items()]
     return spark.createDataFrame(rows, "model string, n_train long, n_test long, near_or_below_mean boolean")
 
 
@@ -171,13 +205,8 @@ def ml_quality_text_lr(spark, sf):
         "n_train long, n_test long, grid_points long, random_points long, test_auc_above_half boolean")
 
 
-@query("ml_kmeans_segments", """
-SELECT k, (SELECT count(*) FROM customer) AS customers, true AS inertia_falls, k AS clusters, k AS names FROM range(2, 11) AS t(k)""")
-def ml_kmeans_segments(spark, sf):
-    """J2 (log1p + standard, min-max and robust scaling) + J7 (k from 2 to 10: inertia, silhouette)
-    + J8 (naming by rank score) + J9 (unique names) + E22 on customer statistics: per k, the
-    customers assigned, whether inertia is below that of one cluster, and the clusters and
-    distinct names."""
+def segment_search(spark, sf):
+    """Scaled customer statistics, and inertia and silhouette of k from 2 to 10."""
     cs = cust_stats(spark, sf).select("c_custkey", "n_orders", "spend", "c_acctbal")
     x = cs.select("c_custkey", "n_orders", "spend", "c_acctbal", log1p_clipped("n_orders").alias("f"),
                   log1p_clipped("spend").alias("m"), log1p_clipped("c_acctbal").alias("b"))
@@ -186,7 +215,24 @@ def ml_kmeans_segments(spark, sf):
                                MinMaxScaler(inputCol="raw", outputCol="unit"),
                                RobustScaler(inputCol="raw", outputCol="robust", withCentering=True)])
     x = materialize(scalers.fit(x).transform(x))
-    search = ml.kmeans_search(x, "features", range(2, 11))
+    return x, ml.kmeans_search(x, "features", range(2, 11))
+
+
+@query("ml_kmeans_search", None)
+def ml_kmeans_search(spark, sf):
+    """The numbers behind ``ml_kmeans_segments``: inertia and silhouette per k."""
+    _, search = segment_search(spark, sf)
+    return spark.createDataFrame([(r["k"], r["inertia"], r["silhouette"]) for r in search], "k long, inertia double, silhouette double")
+
+
+@query("ml_kmeans_segments", """
+SELECT k, (SELECT count(*) FROM customer) AS customers, true AS inertia_falls, k AS clusters, k AS names FROM range(2, 11) AS t(k)""")
+def ml_kmeans_segments(spark, sf):
+    """J2 (log1p + standard, min-max and robust scaling) + J7 (k from 2 to 10: inertia, silhouette)
+    + J8 (naming by rank score) + J9 (unique names) + E22 on customer statistics: per k, the
+    customers assigned, whether inertia is below that of one cluster, and the clusters and
+    distinct names."""
+    x, search = segment_search(spark, sf)
     spread = x.select(F.sum(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, v: a + v * v))).first()[0]
     zcols = {"mean_orders": ("Frequent", "Infrequent"), "mean_spend": ("Big spenders", "Small spenders"),
              "mean_balance": ("Cash rich", "Indebted")}
@@ -243,6 +289,23 @@ def oof_table(spark, sf, k: int = 3):
     return materialize(oof), materialize(held)
 
 
+def stacked(spark, sf):
+    """Out-of-fold rows and test rows with the meta-model's ``prediction``."""
+    oof, held = oof_table(spark, sf)
+    va = VectorAssembler(inputCols=[f"p_{n}" for n in _STACK], outputCol="features")
+    meta = LinearRegression(labelCol="y_log", regParam=0.01, elasticNetParam=0.0).fit(va.transform(oof))
+    return meta.transform(va.transform(oof)), meta.transform(va.transform(held))
+
+
+@query("ml_oof_predictions", None)
+def ml_oof_predictions(spark, sf):
+    """The rows behind ``ml_oof_stacking``: per row its fold (null for test rows), base and stacked
+    predictions."""
+    cols = ["rid", "y_log", *[f"p_{n}" for n in _STACK], "prediction"]
+    oof, held = stacked(spark, sf)
+    return oof.select("fold", *cols).unionByName(held.select(F.lit(None).cast("int").alias("fold"), *cols))
+
+
 @query("ml_oof_stacking", f"""
 WITH {PRICE_SPLIT_SQL},
 f AS (SELECT fold, (n_train // 3) + CASE WHEN fold < n_train % 3 THEN 1 ELSE 0 END AS n_oof, n_train, n_test FROM e, range(3) AS r(fold))
@@ -252,27 +315,18 @@ def ml_oof_stacking(spark, sf):
     models' OOF predictions, test rows scored with the mean of the fold models) + K10: per
     fold, its rows, distinct rows, the test rows scored, and whether the stacked RMSE is
     at most 5 % above that of the mean, in the fold and on the test rows."""
-    oof, held = oof_table(spark, sf)
-    va = VectorAssembler(inputCols=[f"p_{n}" for n in _STACK], outputCol="features")
-    meta = LinearRegression(labelCol="y_log", regParam=0.01, elasticNetParam=0.0).fit(va.transform(oof))
+    oof, held = stacked(spark, sf)
     err = F.sqrt(F.avg((F.col("y_log") - F.col("prediction")) ** 2)) <= 1.05 * F.stddev_pop("y_log")
-    on_test = meta.transform(va.transform(held)).agg(err.alias("ok"), F.count_distinct("rid").alias("n")).first()
-    return (meta.transform(va.transform(oof)).groupBy("fold").agg(
+    on_test = held.agg(err.alias("ok"), F.count_distinct("rid").alias("n")).first()
+    return (oof.groupBy("fold").agg(
         F.count(F.lit(1)).alias("n_oof"), F.count_distinct("rid").alias("distinct_rows"), err.alias("in_fold"))
         .select("fold", "n_oof", "distinct_rows", F.lit(on_test["n"]).cast("long").alias("n_test"),
                 (F.col("in_fold") & F.lit(bool(on_test["ok"]))).alias("near_or_below_mean")))
 
 
-@query("ml_feature_importance", f"""
-WITH {PRICE_SPLIT_SQL}, m AS (SELECT {", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(PRICE_FEATURES))}
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE NOT ({SPLIT_EXPR}))
-SELECT feature, n_train, n_test, mean_value, true AS importances_sum_to_one FROM e,
-  (SELECT unnest([{", ".join(f"'{c}'" for c in PRICE_FEATURES)}]) AS feature, unnest([{", ".join(f"m{i}" for i in range(5))}]) AS mean_value FROM m)""",
-       floats=("mean_value",))
-def ml_feature_importance(spark, sf):
-    """K4 (GBT classifier) + K16 (model importances) + K17 (exact linear contributions around the
-    training means) + K18 (permutation importance on test rows): one row per feature, with
-    the counts of both splits; contributions of a row add up to its prediction minus the mean one."""
+def importances(spark, sf):
+    """Rows per split, training means, ranked importances, contributions per test row and feature,
+    the rows whose contributions miss the prediction, and the loss of AUC per permuted feature."""
     d = materialize(_price_table(spark, sf))
     n = _counts(d)
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
@@ -293,18 +347,37 @@ def ml_feature_importance(spark, sf):
     base_auc = auc_of(test)
     va = VectorAssembler(inputCols=PRICE_FEATURES, outputCol="features")
     drops = [base_auc - auc_of(va.transform(ml.permuted_column(test.drop("features"), "rid", c))) for c in PRICE_FEATURES]
+    return n, means, imp, contrib, off, dict(zip(PRICE_FEATURES, drops))
+
+
+@query("ml_importance_values", None)
+def ml_importance_values(spark, sf):
+    """The numbers behind ``ml_feature_importance``: per feature its importance and rank in the
+    boosted model, the loss of test AUC when permuted, and the mean size of its linear contribution."""
+    _, _, imp, contrib, _, drops = importances(spark, sf)
+    drop = spark.createDataFrame(list(drops.items()), "feature string, auc_drop double")
+    size = contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
+    return imp.join(drop, "feature").join(size, "feature")
+
+
+@query("ml_feature_importance", f"""
+WITH {PRICE_SPLIT_SQL}, m AS (SELECT {", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(PRICE_FEATURES))}
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE NOT ({SPLIT_EXPR}))
+SELECT feature, n_train, n_test, mean_value, true AS importances_sum_to_one FROM e,
+  (SELECT unnest([{", ".join(f"'{c}'" for c in PRICE_FEATURES)}]) AS feature, unnest([{", ".join(f"m{i}" for i in range(5))}]) AS mean_value FROM m)""",
+       floats=("mean_value",))
+def ml_feature_importance(spark, sf):
+    """K4 (GBT classifier) + K16 (model importances) + K17 (exact linear contributions around the
+    training means) + K18 (permutation importance on test rows): one row per feature, with
+    the counts of both splits; contributions of a row add up to its prediction minus the mean one."""
+    n, means, imp, _, off, drops = importances(spark, sf)
     whole = abs(imp.select(F.sum("importance")).first()[0] - 1) < 1e-6 and off == 0 and len(drops) == len(PRICE_FEATURES)
     rows = [(c, n["train"], n["test"], means[c], bool(whole)) for c in PRICE_FEATURES]
     return spark.createDataFrame(rows, "feature string, n_train long, n_test long, mean_value double, importances_sum_to_one boolean")
 
 
-@query("ml_batch_scoring", """
-SELECT vec_id, true AS valid_label, true AS risk_follows_confidence, 3 AS n_top FROM embeddings""")
-def ml_batch_scoring(spark, sf):
-    """J6 + A17 + K13 + K14: one fitted pipeline (scaling + multinomial LR), fitted on the training
-    split, saved, loaded and used to score every row: label, probability, risk score and level,
-    top-3 classes; checked per row (a known label, the most probable one first, the risk
-    score and level that its probability implies)."""
+def scored_rows(spark, sf):
+    """The training labels, and every row with its label, confidence, risk and top classes."""
     e = _emb(spark, sf).withColumnRenamed("features", "raw")
     pipe = Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features", withMean=True),
                             LogisticRegression(maxIter=40, regParam=0.05, family="multinomial")])
@@ -315,9 +388,25 @@ def ml_batch_scoring(spark, sf):
     top = F.array_max(p)
     labels = [str(int(r.label)) for r in train.select("label").distinct().orderBy("label").collect()]  # one per class
     every = [str(i) for i in range(int(max(map(int, labels))) + 1)]
-    s = s.select("vec_id", F.col("prediction").cast("int").cast("string").alias("predicted"), top.alias("confidence"),
+    return labels, s.select("vec_id", F.col("prediction").cast("int").cast("string").alias("predicted"), top.alias("confidence"),
                  risk_score(top).alias("risk_score"), risk_level(risk_score(top)).alias("risk_level"),
                  ml.top_classes("probability", every, 3).alias("top3"))
+
+
+@query("ml_batch_scores", None)
+def ml_batch_scores(spark, sf):
+    """The rows behind ``ml_batch_scoring``."""
+    return scored_rows(spark, sf)[1]
+
+
+@query("ml_batch_scoring", """
+SELECT vec_id, true AS valid_label, true AS risk_follows_confidence, 3 AS n_top FROM embeddings""")
+def ml_batch_scoring(spark, sf):
+    """J6 + A17 + K13 + K14: one fitted pipeline (scaling + multinomial LR), fitted on the training
+    split, saved, loaded and used to score every row: label, probability, risk score and level,
+    top-3 classes; checked per row (a known label, the most probable one first, the risk
+    score and level that its probability implies)."""
+    labels, s = scored_rows(spark, sf)
     level = F.when(F.col("risk_score") >= 80, "Critical").when(F.col("risk_score") >= 50, "High").when(
         F.col("risk_score") >= 20, "Medium").otherwise("Low")
     return s.select(

@@ -165,3 +165,58 @@ def test_checkpoint_folder_is_required_off_local(monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Fake())
+
+
+@pytest.fixture(scope="module")
+def signal(spark, tmp_path_factory):
+    """Tables whose price, return flag and labels follow from the features."""
+    rng, root = random.Random(8), tmp_path_factory.mktemp("signal")
+    parts = [(i, 100.0 + 9 * i, i % 50 + 1) for i in range(100)]
+    lines = []
+    for _ in range(1500):
+        part, q = rng.choice(parts), float(rng.randint(1, 50))
+        lines.append((part[0], q, rng.randint(0, 10) / 100, rng.randint(0, 8) / 100, q * part[1], "R" if q > 25 else "N"))
+    vectors = [(i, [rng.gauss(2.0 if d % 4 == i % 4 else 0.0, 1.0) for d in range(64)], i % 4) for i in range(400)]
+    for name, rows, ddl in (("part", parts, "p_partkey long, p_retailprice double, p_size int"),
+                            ("lineitem", lines, "l_partkey long, l_quantity double, l_discount double, l_tax double, "
+                                                "l_extendedprice double, l_returnflag string"),
+                            ("embeddings", vectors, "vec_id long, embedding array<float>, label int")):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
+
+
+def test_classifiers_predict_unseen_rows(spark, signal):
+    p = ml_plans.ml_embedding_predictions(spark, signal)
+    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    got = {r.model: r for r in p.groupBy("model").agg(right.alias("right"), F.count_distinct("vec_id").alias("n")).collect()}
+    assert set(got) == {"logreg", "random_forest", "mlp"}
+    assert all(r.right > 0.7 and r.n == 80 for r in got.values()), got  # a constant is right for 0.25
+    s = ml_plans.ml_batch_scores(spark, signal).join(spark.read.parquet(f"{signal}/embeddings.parquet"), "vec_id").collect()
+    assert len(s) == 400 and sum(int(r.predicted) == r.label for r in s) > 300
+    assert all(r.top3.startswith(r.predicted + " (") and 0.25 <= r.confidence <= 1 for r in s)
+
+
+def test_regressors_beat_the_mean_on_unseen_rows(spark, signal):
+    got = {r.model: r for r in ml_plans.ml_price_metrics(spark, signal).collect()}
+    assert set(got) == set(ml_plans._REGRESSORS)
+    assert all(r.r2 > 0.5 and r.rmse > 0 and r.n > 200 for r in got.values()), got  # a constant has R^2 of 0 at most
+    rows = ml_plans.ml_oof_predictions(spark, signal)
+    assert rows.count() == 1500 == rows.select("rid").distinct().count()
+    for r in rows.groupBy("fold").agg(F.sum((F.col("y_log") - F.col("prediction")) ** 2).alias("sse"),
+                                      (F.var_pop("y_log") * F.count("rid")).alias("mean_sse")).collect():
+        assert r.sse < 0.5 * r.mean_sse, r
+
+
+def test_importances_name_the_feature_that_decides(spark, signal):
+    got = {r.feature: r for r in ml_plans.ml_importance_values(spark, signal).collect()}
+    assert set(got) == set(ml_plans.PRICE_FEATURES) and sum(r.importance for r in got.values()) == pytest.approx(1)
+    first = got["l_quantity"]
+    assert first["rank"] == 1 and first.auc_drop > 0.3 and first.mean_abs_contribution > 0.1
+    assert all(abs(r.auc_drop) < 0.1 for f, r in got.items() if f != "l_quantity")
+
+
+def test_search_returns_inertia_and_silhouette(spark):
+    got = ml_plans.ml_kmeans_search(spark, SF).orderBy("k").collect()
+    assert [r.k for r in got] == list(range(2, 11))
+    assert got[-1].inertia < got[0].inertia and all(-1 <= r.silhouette <= 1 and r.inertia > 0 for r in got)
+    assert len({r.silhouette for r in got}) == 9
