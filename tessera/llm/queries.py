@@ -2,11 +2,13 @@
 whole table with production parameters and derive the contract's columns from its output."""
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, neardup, packing, quality, secrets, suffixdedup, urlfilter, warc
+from . import chat, ctw, decontam, fim, merkle, neardup, packing, quality, secrets, suffixdedup, urlfilter, warc
 from .shared import table
 
 QUERIES: dict = {}
@@ -147,3 +149,89 @@ def op3_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chosen_path_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by two-word shingles at similarity 0.8 or more."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
+
+
+#: crc32 of a string of ASCII characters, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, q: xor(p >> 1, (p & 1) * 3988292384))), 4294967295)"""
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head, text,
+    CASE WHEN CRC % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS seen
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM (
+    SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(strlen(seen) || ':' || seen, '-')) AS claim FROM d)),
+low(t, l, p, h, n) AS (
+  SELECT t, 0, p, leaf, count(*) OVER (PARTITION BY t) FROM leaves
+  UNION ALL
+  SELECT *, count(*) OVER (PARTITION BY t) FROM (
+    SELECT t, l + 1, p // 16, sha256(string_agg(h, '' ORDER BY p)) FROM low WHERE n > 1 GROUP BY t, l, p // 16)),
+high(l, p, h, n) AS (
+  SELECT 0, t, h, count(*) OVER () FROM low WHERE n = 1
+  UNION ALL
+  SELECT *, count(*) OVER () FROM (SELECT l + 1, p // 16, sha256(string_agg(h, '' ORDER BY p)) FROM high WHERE n > 1 GROUP BY l, p // 16)),
+nodes AS (SELECT t, l, p, h, n FROM low WHERE n > 1 UNION ALL SELECT -1, l, p, h, n FROM high WHERE n > 1),
+sib AS (
+  SELECT a.t, a.l, a.p, coalesce(string_agg(b.h, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS before,
+         coalesce(string_agg(b.h, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS after
+  FROM nodes a JOIN nodes b ON a.t = b.t AND a.l = b.l AND a.p // 16 = b.p // 16 GROUP BY a.t, a.l, a.p),
+steps AS (
+  SELECT x.t, x.p, row_number() OVER (PARTITION BY x.t, x.p ORDER BY s.t < 0, s.l) AS k, before, after
+  FROM leaves x JOIN sib s ON (s.t = x.t AND s.p = x.p // (16 ** s.l)::BIGINT) OR (s.t = -1 AND s.p = x.t // (16 ** s.l)::BIGINT)),
+ends AS (SELECT t, p, max(k) AS depth, string_agg(before || after, '' ORDER BY k) AS proof FROM steps GROUP BY t, p),
+walk(t, p, k, h) AS (
+  SELECT t, p, 0, claim FROM leaves
+  UNION ALL
+  SELECT w.t, w.p, w.k + 1, sha256(before || w.h || after) FROM walk w JOIN steps s ON s.t = w.t AND s.p = w.p AND s.k = w.k + 1)
+SELECT x.doc_id, x.leaf, sub.h AS subroot, r.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, w.h AS folded_root, w.h = r.h AS verified
+FROM leaves x JOIN low sub ON sub.t = x.t AND sub.n = 1 CROSS JOIN (SELECT h FROM high WHERE n = 1) r
+LEFT JOIN ends e ON e.t = x.t AND e.p = x.p JOIN walk w ON w.t = x.t AND w.p = x.p AND w.k = coalesce(e.depth, 0)
+""".replace("CRC", CRC32_SQL.format(x="doc_id::VARCHAR"))
+
+
+@query("op11_pointer_jumping_merkle_proofs", OP11_SQL)
+def op11_pointer_jumping_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle proof for every document, and what it says of a copy in which the texts of a
+    fifth of the documents were lower-cased."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    changed = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    row = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    claim = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf_digest(*row, changed))
+    manifest = merkle.build_manifest(docs, merkle.leaf_digest(*row, F.col("text")), claim=claim)
+    return merkle.prove(manifest).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.siblings_digest(F.col("proof")).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+OP12_SQL = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS units FROM documents),
+c AS (
+  SELECT doc_id, t, len(units) AS n, units, ('0x' || h[1:8])::UBIGINT % (len(units) + 1) AS c1, ('0x' || h[9:16])::UBIGINT % (len(units) + 1) AS c2,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::UBIGINT % 100 >= 50 THEN 'plain'
+         WHEN ('0x' || h[25:32])::UBIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+m AS (
+  SELECT doc_id, t, n, form, array_to_string(units[1:least(c1, c2)::BIGINT], '') AS p,
+         array_to_string(units[least(c1, c2)::BIGINT + 1:greatest(c1, c2)::BIGINT], '') AS m,
+         array_to_string(units[greatest(c1, c2)::BIGINT + 1:], '') AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(p || m || s) AS restored_sha256
+FROM m
+"""
+
+
+@query("op12_repeated_capture_fim", OP12_SQL)
+def op12_repeated_capture_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged, and the text restored from the output."""
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text"))
+    output, form = F.col("fim.output"), F.col("fim.form")
+    return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2(output, 256).alias("output_sha256"),
+                       F.sha2(fim.restore(output, form), 256).alias("restored_sha256"))
