@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, fim, merkle, neardup, packing, quality, secrets, suffixdedup, urlfilter, warc
+from . import chat, crf, ctw, decontam, fim, merkle, neardup, packing, quality, secrets, suffixdedup, urlfilter, warc
 from .shared import table
 
 QUERIES: dict = {}
@@ -235,3 +235,13 @@ def op12_repeated_capture_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     output, form = F.col("fim.output"), F.col("fim.form")
     return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2(output, 256).alias("output_sha256"),
                        F.sha2(fim.restore(output, form), 256).alias("restored_sha256"))
+
+
+@query("op13_line_crf_quality")
+def op13_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from a field over its lines, learnt without the held-out fifth."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(~crf.held_out("doc_id"))
+    scored = crf.score_documents(docs, crf.fit(docs, labels))
+    return scored.select("doc_id", crf.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_lines", "n_bad")
