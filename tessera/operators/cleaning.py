@@ -239,6 +239,33 @@ def missing_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return long.filter(F.col("missing") > 0)
 
 
+def identical_columns(df: DataFrame, key_cols: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
+    """(column, same_as) for every column that equals an earlier one of ``cols`` in every row
+    (nulls equal nulls, numbers by value; ``same_as`` the first such column).
+
+    One aggregate sums a hash of (key, value) per column: equal columns have equal sums whatever the
+    order of rows, and no pair of columns is compared row by row unless their sums agree.  A second
+    aggregate confirms those candidates with null-safe equality."""
+    cols = list(cols or [c for c in df.columns if c not in key_cols])
+    numeric = {c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal")}
+    value = {c: F.col(c).cast("double") if c in numeric else F.col(c) for c in cols}
+    kind = {c: "number" if c in numeric else t for c, t in df.dtypes}
+    sums = df.agg(*[F.sum(F.xxhash64(*key_cols, value[c], F.col(c).isNull()).cast("decimal(38,0)")).alias(f"h{i}")
+                    for i, c in enumerate(cols)]).first()
+    groups: dict = {}
+    for i, c in enumerate(cols):
+        groups.setdefault((kind[c], sums[f"h{i}"]), []).append(c)
+    pairs = [(a, b) for same in groups.values() for k, b in enumerate(same) for a in same[:k]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column string, same_as string")
+    checked = df.agg(*[F.min(F.col(a).eqNullSafe(F.col(b))).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]).first()
+    first: dict = {}
+    for i, (a, b) in enumerate(pairs):
+        if checked[f"p{i}"] is not False:
+            first.setdefault(b, a)
+    return df.sparkSession.createDataFrame([(c, first[c]) for c in cols if c in first], "column string, same_as string")
+
+
 def quality_report(df: DataFrame, ts: str, numeric: Sequence[str], lo: float = 0.0) -> DataFrame:
     """Rows, columns, time range, nulls, duplicate timestamps and impossible
     readings as a (metric, value) table from a single aggregate."""

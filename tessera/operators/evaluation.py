@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import running_sum, sequence_index
+from .topk import top_k_per_group
 
 
 def _c(x) -> Column:
@@ -211,6 +212,21 @@ def confused_pairs(df: DataFrame, label: str, pred: str, k: int) -> DataFrame:
               .orderBy(F.desc("n"), "label", "pred").limit(k))
 
 
+def misclassified(df: DataFrame, label: str, pred: str, order_cols, k: int | None = None) -> DataFrame:
+    """The false positives and false negatives of a 0/1 prediction, worst first by ``order_cols``
+    (a total order within a type): all columns, ``error`` (FP or FN), ``error_rate`` (share of that
+    type among the rows that could be of it) and ``rank`` within the type; at most ``k`` of each (None: all)."""
+    n = df.agg(*[F.sum((F.col(label) == v).cast("long")).alias(f"n{v}") for v in (0, 1)],
+               F.sum(((F.col(label) == 0) & (F.col(pred) == 1)).cast("long")).alias("fp"),
+               F.sum(((F.col(label) == 1) & (F.col(pred) == 0)).cast("long")).alias("fn")).first()
+    wrong = df.where(F.col(label) != F.col(pred)).withColumn("error", F.when(F.col(label) == 0, "FP").otherwise("FN"))
+    rate = F.when(F.col("error") == "FP", (n["fp"] or 0) / max(n["n0"] or 0, 1)).otherwise((n["fn"] or 0) / max(n["n1"] or 0, 1))
+    wrong = wrong.withColumn("error_rate", rate)
+    if k is not None:
+        return top_k_per_group(wrong, ["error"], order_cols, k, "rank")
+    return sequence_index(wrong, order_cols, ["error"], "rank")  # two groups: positions across tasks
+
+
 def leaderboard(metric_rows: Sequence[DataFrame], metric: str, baseline: str, higher_is_better: bool = True) -> DataFrame:
     """Union of per-model metric rows with improvement over a baseline model (%)."""
     out = metric_rows[0]

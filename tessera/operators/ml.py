@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import sequence_index, stable_hash
+from .quantiles import quantile_values
 
 
 def column_transformer(categorical: Sequence[str], numeric: Sequence[str], out: str = "features",
@@ -101,6 +102,24 @@ def greedy_unique_names(profile_rows: list[dict], dims: dict[str, tuple[str, str
     return names
 
 
+def fit_scalers(train: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, tuple[float, float]]]:
+    """(offset, width) per kind and column from the training rows: ``standard`` (mean, population
+    deviation), ``minmax`` (least, range) and ``robust`` (median, interquartile range, both
+    exact); a width of 0 counts as 1.  One row per column comes to the driver."""
+    agg = train.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (
+        ("mean", F.avg), ("sd", F.stddev_pop), ("lo", F.min), ("hi", F.max))]).first()
+    q = quantile_values(train, cols, [0.25, 0.5, 0.75])
+    pair = lambda a, w: (float(a or 0.0), float(w or 0.0) or 1.0)
+    return {"standard": {c: pair(agg[f"mean_{c}"], agg[f"sd_{c}"]) for c in cols},
+            "minmax": {c: pair(agg[f"lo_{c}"], (agg[f"hi_{c}"] or 0) - (agg[f"lo_{c}"] or 0)) for c in cols},
+            "robust": {c: pair(q[c][1], (q[c][2] or 0) - (q[c][0] or 0)) for c in cols}}
+
+
+def scale(df: DataFrame, scalers: dict[str, dict[str, tuple[float, float]]]) -> DataFrame:
+    """``<kind>_<column>`` for every fitted scaler."""
+    return df.withColumns({f"{kind}_{c}": (F.col(c) - F.lit(a)) / F.lit(w) for kind, cols in scalers.items() for c, (a, w) in cols.items()})
+
+
 def sample_param_grid(grid: list, n: int, seed: int = 42) -> list:
     """K9: a seeded random subset of a ``ParamGridBuilder`` grid (random search); the
     grid is a small driver-side list of parameter maps."""

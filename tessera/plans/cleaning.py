@@ -270,15 +270,41 @@ def events_quality(spark, sf):
     e = e.select("event_id", "ts", "user_id", "event_type",
                  F.when(F.col("value") >= 2, F.col("value")).alias("v"),
                  (F.col("value") - 5).alias("shifted"))
-    rep = cl.quality_report(e.drop("shifted").withColumn("shifted", F.col("v")), "ts", [])
-    # impossible readings are counted on the shifted value (derived dirt)
-    imp = e.agg(F.sum((F.col("shifted") < 0).cast("long")).cast("string").alias("value")) \
-           .select(F.lit("impossible_shifted").alias("metric"), "value")
-    return rep.filter(F.col("metric") != "null_cells").unionByName(
-        e.drop("shifted").agg(F.sum(sum(F.col(c).isNull().cast("long") for c in
-                                        ["event_id", "ts", "user_id", "event_type", "v"]))
-                              .cast("string").alias("value"))
-         .select(F.lit("null_cells").alias("metric"), "value")).unionByName(imp)
+    return cl.quality_report(e, "ts", ["shifted"])
+
+
+@query("dropped_constant_columns", """
+SELECT unnest(['o_orderkey', 'o_orderstatus', 'o_totalprice']) AS column,
+       unnest([count(o_orderkey), count(o_orderstatus), count(o_totalprice)]) AS non_null FROM orders""")
+def dropped_constant_columns(spark, sf):
+    """The drop itself: a constant column, an empty one and a configured one go; the columns
+    left, with their values counted."""
+    o = read_table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    o = o.withColumn("source_tag", F.lit("tpch")).withColumn("empty_col", F.lit(None).cast("double"))
+    left = cl.drop_constant_columns(o, configured=["o_orderpriority"], exclude=["o_orderkey"])
+    counts = left.agg(*[F.count(c).alias(c) for c in left.columns])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("non_null")) for c in left.columns])))
+
+
+@query("identical_event_columns", """
+WITH e AS (SELECT value AS rv1, value AS rv2, value * 1.0000001 AS almost, user_id, CAST(user_id AS DOUBLE) AS user_again,
+                  CASE WHEN value > 50 THEN event_type END AS kind, CASE WHEN value > 50 THEN event_type END AS kind_again,
+                  CASE WHEN value > 50 THEN event_type ELSE '' END AS kind_filled FROM events),
+p(a, b) AS (SELECT unnest(['rv1', 'user_id', 'kind']), unnest(['rv2', 'user_again', 'kind_again']))
+SELECT b AS column, a AS same_as FROM p WHERE
+  CASE b WHEN 'rv2' THEN (SELECT count(*) = 0 FROM e WHERE rv1 IS DISTINCT FROM rv2)
+         WHEN 'user_again' THEN (SELECT count(*) = 0 FROM e WHERE user_id IS DISTINCT FROM user_again)
+         ELSE (SELECT count(*) = 0 FROM e WHERE kind IS DISTINCT FROM kind_again) END
+UNION ALL SELECT 'almost', 'rv1' WHERE (SELECT count(*) = 0 FROM e WHERE rv1 IS DISTINCT FROM almost)
+UNION ALL SELECT 'kind_filled', 'kind' WHERE (SELECT count(*) = 0 FROM e WHERE kind IS DISTINCT FROM kind_filled)""")
+def identical_event_columns(spark, sf):
+    """Columns that repeat another column, among copies, near copies and columns with nulls."""
+    e = read_table(spark, sf, "events", "event_id", "user_id", "event_type", "value")
+    kind = F.when(F.col("value") > 50, F.col("event_type"))
+    e = e.select("event_id", F.col("value").alias("rv1"), F.col("value").alias("rv2"), (F.col("value") * 1.0000001).alias("almost"), "user_id",
+                 F.col("user_id").cast("double").alias("user_again"), kind.alias("kind"), kind.alias("kind_again"),
+                 F.coalesce(kind, F.lit("")).alias("kind_filled"))
+    return cl.identical_columns(e, ["event_id"])
 
 
 @query("absence_fill", """

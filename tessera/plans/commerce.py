@@ -180,6 +180,58 @@ def recommender_holdout_metrics(spark, sf):
     return rc.evaluate_recommendations(sp, 10, 10)
 
 
+def _grid_sql(metrics, ks, n: int) -> str:
+    """Neighbours of visible sets among all whole sets, every k and metric, by brute force."""
+    sim = {"cosine": "inter / sqrt(na * nb)", "euclidean": "1 / (1 + sqrt(na + nb - 2 * inter))", "manhattan": "1 / (1.0 + (na + nb - 2 * inter))"}
+    def one(m: str) -> str:
+        partners = "inter > 0" if m == "cosine" else "true"
+        return f"""SELECT '{m}' AS metric, u, v, {sim[m]} AS sim, row_number() OVER (PARTITION BY u ORDER BY {sim[m]} DESC, v) AS nrank
+  FROM pairs WHERE {partners}"""
+    return f"""
+h AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY {HOLD_ORDER}, item) AS p, count(*) OVER (PARTITION BY "user") AS n FROM ui),
+sp AS (SELECT "user", item, n >= 5 AS eligible, n >= 5 AND p <= greatest(1, floor(n * 0.2)) AS hidden FROM h),
+ask AS (SELECT "user", item FROM sp WHERE eligible AND NOT hidden),
+hid AS (SELECT "user", item FROM sp WHERE hidden),
+nh AS (SELECT "user", count(*) AS n_hidden FROM hid GROUP BY "user"),
+sa AS (SELECT "user" AS u, count(*) AS na FROM ask GROUP BY 1), sb AS (SELECT "user" AS v, count(*) AS nb FROM ui GROUP BY 1),
+ov AS (SELECT a."user" AS u, b."user" AS v, count(*) AS inter FROM ask a JOIN ui b ON a.item = b.item AND a."user" <> b."user" GROUP BY ALL),
+pairs AS (SELECT u, v, na, nb, coalesce(inter, 0) AS inter FROM sa JOIN sb ON u <> v LEFT JOIN ov USING (u, v)),
+nb AS (SELECT * FROM ({" UNION ALL ".join(map(one, metrics))}) WHERE nrank <= {max(ks)}),
+ks AS (SELECT unnest({list(ks)})::INTEGER AS k),
+cand AS (SELECT metric, k, u AS "user", i.item, round(sum(sim), 9) AS score FROM nb JOIN ks ON nrank <= k JOIN ui i ON i."user" = v GROUP BY ALL),
+c2 AS (SELECT * FROM cand ANTI JOIN ask USING ("user", item) WHERE score > 0),
+rec AS (SELECT *, row_number() OVER (PARTITION BY metric, k, "user" ORDER BY score DESC, item) AS rank FROM c2 QUALIFY rank <= {n}),
+hit AS (SELECT metric, k, "user", rank, row_number() OVER (PARTITION BY metric, k, "user" ORDER BY rank) AS nth FROM rec SEMI JOIN hid USING ("user", item)),
+per AS (SELECT metric, k, "user", count(*) AS hits, sum(nth / rank) AS ap FROM hit GROUP BY ALL),
+every AS (SELECT metric, k, nh."user", n_hidden, coalesce(hits, 0) AS hits, coalesce(ap, 0.0) AS ap
+          FROM (SELECT unnest({list(metrics)}) AS metric) CROSS JOIN ks CROSS JOIN nh LEFT JOIN per USING (metric, k, "user"))
+SELECT metric, k, count(*) AS users, avg(hits / {n}) AS precision_at_n, avg(hits / n_hidden) AS recall_at_n,
+       avg(CASE WHEN hits > 0 THEN 1.0 ELSE 0.0 END) AS hit_rate, avg(ap / least(n_hidden, {n})) AS map_at_n FROM every GROUP BY ALL"""
+
+
+GRID_METRICS, GRID_KS = ("cosine", "euclidean", "manhattan"), (3, 5, 7, 9, 11, 15)
+
+
+@query("recommender_tuning_grid", f"""
+WITH {UI_SQL}, {_grid_sql(GRID_METRICS, GRID_KS, 10)}""", floats=("precision_at_n", "recall_at_n", "hit_rate", "map_at_n"))
+def recommender_tuning_grid(spark, sf):
+    """Three metrics x six numbers of neighbours, evaluated on hidden parts of every customer
+    with five or more; visible parts search the whole sets of all other customers."""
+    ui = ui_table(spark, sf)
+    order = (F.col("user") * 7919 + F.col("item") * 104729) % 1000003
+    return rc.evaluate_grid(rc.holdout_split(ui, 5, 0.2, order=order), GRID_METRICS, GRID_KS, 10)
+
+
+@query("described_recommendations", f"""
+WITH {UI_SQL}, {_reco_sql('ui', 'ui', 11, 10)}
+SELECT "user", rank, item, coalesce(p_name, '') AS description FROM rec LEFT JOIN part ON p_partkey = item""")
+def described_recommendations(spark, sf):
+    """Ten recommendations for every customer: rank, part and its description."""
+    rec = rc.recommend(ui_table(spark, sf), k=11, n=10)
+    parts = read_table(spark, sf, "part", "p_partkey", "p_name")
+    return rc.describe(rec, parts, "p_partkey", "p_name").select("user", "rank", "item", "description")
+
+
 def _baskets_sql(item: str, top: int | None, market: str = "") -> str:
     limit = f"AND item IN (SELECT item FROM q GROUP BY item ORDER BY count(*) DESC, item LIMIT {top})" if top else ""
     return f"""

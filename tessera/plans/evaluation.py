@@ -304,3 +304,20 @@ def lang_binary_collapse(spark, sf):
     p = lang_pred(spark, sf).select((F.col("label") != "en").cast("int").alias("y"),
                                     (F.col("pred") != "en").cast("int").alias("p"))
     return ev.binary_metrics(p, "y", "p")
+
+
+@query("misclassified_documents", f"""
+WITH {SCORED_SQL},
+w AS (SELECT doc_id, score, CASE WHEN label = 0 THEN 'FP' ELSE 'FN' END AS error FROM s WHERE label <> pred),
+r AS (SELECT (SELECT count(*) FROM w WHERE error = 'FP') / (SELECT greatest(count(*), 1) FROM s WHERE label = 0) AS fpr,
+             (SELECT count(*) FROM w WHERE error = 'FN') / (SELECT greatest(count(*), 1) FROM s WHERE label = 1) AS fnr)
+SELECT w.doc_id, error, CASE error WHEN 'FP' THEN fpr ELSE fnr END AS error_rate,
+       row_number() OVER (PARTITION BY error ORDER BY abs(score - 0.25) DESC, w.doc_id) AS rank,
+       left(text, 120) AS snippet FROM w JOIN documents d USING (doc_id), r""", floats=("error_rate",))
+def misclassified_documents(spark, sf):
+    """Every misclassified document by type, the most confident mistakes first, with the rate of
+    its type and the beginning of its text."""
+    s = scored(spark, sf).withColumn("distance", F.abs(F.col("score") - 0.25))
+    wrong = ev.misclassified(s, "label", "pred", [F.desc("distance"), F.asc("doc_id")])
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return wrong.join(d, "doc_id").select("doc_id", "error", "error_rate", "rank", F.left("text", F.lit(120)).alias("snippet"))

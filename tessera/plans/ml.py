@@ -38,6 +38,7 @@ from ..operators.text import remove_stop_words
 from ..session import materialize
 from ..sources.files import scratch_path
 from ..sources.tables import read_table
+from .features import CUST_SQL, cust_stats
 from .features import cust_stats
 from .registry import query
 
@@ -429,3 +430,23 @@ def ml_group_profile_clusters(spark, sf):
     # One row per group: left to the runtime size check, a group table may be large.
     return c.join(cl, "c_nationkey", "left").fillna(-1, ["nation_cluster"]) \
             .select("c_custkey", "c_nationkey", F.col("nation_cluster").between(0, 4).alias("has_cluster"))
+
+
+_SCALED = ("n_orders", "spend", "c_acctbal")
+
+
+def _scaled_sql(c: str) -> str:
+    return f"""({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS standard_{c},
+  ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) AS minmax_{c},
+  ({c} - quantile_cont({c}::DOUBLE, 0.5) OVER ()) / (quantile_cont({c}::DOUBLE, 0.75) OVER () - quantile_cont({c}::DOUBLE, 0.25) OVER ()) AS robust_{c}"""
+
+
+@query("scaled_customer_features", f"""
+WITH {CUST_SQL}
+SELECT c_custkey, {", ".join(map(_scaled_sql, _SCALED))} FROM cs""",
+       floats=tuple(f"{k}_{c}" for k in ("standard", "minmax", "robust") for c in _SCALED))
+def scaled_customer_features(spark, sf):
+    """Standard, min-max and robust scaling of the customer statistics, every value."""
+    cs = materialize(cust_stats(spark, sf).select("c_custkey", *_SCALED))
+    out = ml.scale(cs, ml.fit_scalers(cs, _SCALED))
+    return out.select("c_custkey", *[f"{k}_{c}" for c in _SCALED for k in ("standard", "minmax", "robust")])

@@ -52,4 +52,4 @@ def query(name: str, sql: str | None, floats: Sequence[str] = ()):
 
 def load_all() -> None:
     """Import every plan module so their decorators run."""
-    from . import retail, cleaning, profile, evaluation, timeseries, text, commerce, sampling, io, features, ml, neighbours, extras, completeness  # noqa: F401
+    from . import retail, cleaning, profile, evaluation, timeseries, text, commerce, sampling, io, features, ml, linear, neighbours, extras, completeness  # noqa: F401

@@ -72,3 +72,11 @@ def materialize(df: DataFrame) -> DataFrame:
     folder, so each pass starts from stored data instead of re-running the lineage.
     Survives executor loss: the files are in the shared folder, not on executors."""
     return cut_lineage(df)
+
+
+def spread_out(df: DataFrame, *cols: str) -> DataFrame:
+    """Deal small rows that cost much work each over all shuffle partitions.
+
+    Run-time coalescing goes by bytes: a few MB of candidate pairs would end up in one task,
+    however long their distances take.  A repartitioning with a number is left as it is."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)

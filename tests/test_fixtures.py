@@ -234,7 +234,7 @@ def test_knn_exact_against_brute_force(spark):
     pts = [(i, [rnd.gauss(0, 1) for _ in range(3)]) for i in range(120)] + [(200 + i, [4.0, 4.0, 4.0]) for i in range(4)]
     df = spark.createDataFrame(pts, "id long, v array<double>")
     got = {}
-    for r in kn.knn(df, df, "id", "v", 3, w0=0.05).collect():
+    for r in kn.knn(df, df, "id", "v", 3, leaf=4).collect():
         got.setdefault(r.id, []).append((r.rank, r.neighbour))
     for i, v in pts:
         exp = [j for _, j in sorted((math.dist(v, w), j) for j, w in pts if j != i)[:3]]
