@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import decontam, packing, quality, queries, secrets
 from tessera.llm.textbuf import TextBuf
@@ -351,3 +352,14 @@ def test_redaction_keeps_rows(spark):
     texts = dict(got)
     assert texts[1] == 'é [SECRET]" x' and texts[7] is None and texts[6] == "[SECRET]" and texts[4] == "[SECRET] AKIAX"
     assert hashlib.sha256(texts[9].encode()).digest() == hashlib.sha256(SECRET_TEXTS[8][1].encode()).digest()
+
+
+def test_bands_reject_labelled_junk_and_keep_clean_texts(spark):
+    """Of the labelled texts past the base rule, most bad ones go by the bands and good ones stay."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    judged = quality.quality_rules(spark.read.parquet(f"{sf}/documents.parquet"), *queries.vocabularies()).where("not base_failed")
+    share = {r.quality: (r.n, r.kept) for r in judged.join(labels, "doc_id").groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1][0] > 250 and share[1][1] >= 0.99
+    assert share[0][0] > 20 and share[0][1] <= 0.4
