@@ -141,8 +141,10 @@ def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_difference_cover_dedup")
 def op3_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of every document that lie in repeated 400-byte strings, removed."""
-    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    """Bytes of every document that lie in repeated 400-byte strings, removed: ``n_removed`` above 0
+    marks a document with a repeated passage."""
+    out = suffixdedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_removed", "n_spans", "n_bytes", "kept_sha256")
 
 
 @query("op4_chosen_path_near_duplicates")
@@ -210,7 +212,10 @@ def op11_pointer_jumping_merkle_proofs(spark: SparkSession, sf_dir: str) -> Data
 OP12_SQL = r"""
 WITH u AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
-         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS units FROM documents),
+         regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS units FROM documents),
 c AS (
   SELECT doc_id, t, len(units) AS n, units, ('0x' || h[1:8])::UBIGINT % (len(units) + 1) AS c1, ('0x' || h[9:16])::UBIGINT % (len(units) + 1) AS c2,
     CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::UBIGINT % 100 >= 50 THEN 'plain'

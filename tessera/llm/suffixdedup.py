@@ -43,7 +43,7 @@ COVER = (0, 1, 3, 17, 21, 58, 65, 73, 100, 105, 111, 124)
 SAMPLE_LENGTH = LENGTH - PERIOD
 SAMPLE_BITS = 40
 #: Bytes of text whose suffixes one task holds at a time.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 3 << 20
 _HASH = RangeHasher(5)
 
 
