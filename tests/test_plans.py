@@ -10,7 +10,8 @@ SF = "/root/testdata/sf0.001"
 NATIVE = ["clean_funnel", "keyed_dedup_first", "customer_pareto", "hourly_lag_roll", "hourly_decomposition",
           "top_ngrams", "tfidf_weights", "user_knn_recommendations", "near_duplicate_vectors",
           "association_rules", "roc_auc_exact", "recall_grid", "click_view_overlap", "flag_cooccurrence",
-          "knn_segment_recommendation", "group_split", "text_message_features", "stream_hourly_alerts"]
+          "knn_segment_recommendation", "group_split", "text_message_features", "stream_hourly_alerts",
+          "dbscan_customers", "adasyn_rows", "linear_models", "recommender_tuning_grid", "doc_polarity_in_context", "misclassified_documents"]
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
