@@ -43,9 +43,10 @@ def unsqueeze(raw: bytes) -> np.ndarray:
     return np.cumsum(a, dtype=kind) if ascending else a
 
 
-def pack_rows(table: pa.Table) -> bytes:
+def pack_rows(table: pa.Table, level: int = 1) -> bytes:
+    """Compressed rows; a higher ``level`` makes texts that are stored for long smaller."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as w:
         w.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -134,13 +135,13 @@ PAYLOADS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("payload", p
 PAYLOADS_DDL = "block long, part int, payload binary"
 
 
-def text_blocks(docs: DataFrame, text: str, name: str, limit: int = BLOCK_BYTES) -> DataFrame:
+def text_blocks(docs: DataFrame, text: str, name: str, limit: int = BLOCK_BYTES, level: int = 1) -> DataFrame:
     """Documents packed into numbered blocks (``block, payload``), stored."""
     from .shared import stored
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in blocks(batches, text, limit):
-            yield to_batch([(number, -1, pack_rows(rows))], PAYLOADS)
+            yield to_batch([(number, -1, pack_rows(rows, level))], PAYLOADS)
 
     return stored(docs.mapInArrow(run, PAYLOADS_DDL), name)
 

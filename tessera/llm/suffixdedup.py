@@ -43,7 +43,9 @@ COVER = (0, 1, 3, 17, 21, 58, 65, 73, 100, 105, 111, 124)
 SAMPLE_LENGTH = LENGTH - PERIOD
 SAMPLE_BITS = 40
 #: Bytes of text whose suffixes one task holds at a time.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
+#: Compression of stored texts: 0.33 of prose instead of 0.45 with the lowest level.
+LEVEL = 6
 _HASH = RangeHasher(5)
 
 
@@ -112,7 +114,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     empty table gives no rows.  Very long texts are blocks of their own.
     """
     n_parts = power_of_two_parts(docs)
-    blocks = text_blocks(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", "suffix-texts", BLOCK_BYTES)
+    blocks = text_blocks(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", "suffix-texts", BLOCK_BYTES, LEVEL)
 
     def sample_request(raw: bytes) -> Fingerprints:
         return sample_fingerprints(text_of(unpack_rows(raw), "text"), n_parts)[1]
@@ -148,11 +150,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
         keys = rows.column("key").combine_chunks()
         keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
         yield block, -1, pack_rows(pa.Table.from_arrays(
-            [keys.take(pa.array(open_docs)), texts, pa.array(ranges, pa.list_(pa.int64()))], schema=pending))
+            [keys.take(pa.array(open_docs)), texts, pa.array(ranges, pa.list_(pa.int64()))], schema=pending), LEVEL)
         rest = np.ones(buf.n, bool)
         rest[open_docs] = False
         closed = rows.filter(pa.array(rest))
-        yield block, -2, pack_rows(_table(results(keys.filter(pa.array(rest)), text_of(closed, "text"), None), schema))
+        yield block, -2, pack_rows(_table(results(keys.filter(pa.array(rest)), text_of(closed, "text"), None), schema), LEVEL)
 
     first = stored(with_answers(blocks, repeated_keys(blocks, sample_request), candidates, PAYLOADS_DDL, PAYLOADS, 4),
                    "suffix-candidates")
