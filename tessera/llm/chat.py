@@ -1,11 +1,10 @@
 """Chat formatting by prefix-target expansion, in DataFrame functions only.
 
 ``prefix_targets`` explodes every assistant turn into an example of its own: the context is
-all preceding turns, and only that reply is trainable.  The context is a prefix of the
-rendered conversation, so an example stores where it ends (``context_chars``), and
-``with_context`` cuts the text out where a consumer wants it.  The stored output stays
-proportional to the input, although the contexts of a long conversation add up to the
-square of its length.
+all preceding turns, and only that reply is trainable.  ``format_conversations`` stores where a
+context ends (``context_chars``), so its output stays proportional to the input; the
+examples themselves are whole texts, cut out row by row, and those of a long conversation
+add up to the square of its length.
 
 Template, per turn: ``<|im_start|>`` role, newline, text, ``<|im_end|>``, newline.
 Inside texts and roles ``&`` becomes ``&amp;`` and ``<|`` becomes ``&lt;|`` (in roles a newline
@@ -75,10 +74,19 @@ def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
 
 
 def prefix_targets(formatted: DataFrame) -> DataFrame:
-    """Explode ``format_conversations`` output: a row per assistant turn with ``conv_id``,
-    ``example_no``, ``context_chars`` and ``target``; the loss mask of an example covers
-    exactly ``target``.  Conversations without a reply give no row."""
-    return formatted.select("conv_id", F.explode("examples").alias("e")).select("conv_id", "e.*")
+    """Expand ``format_conversations`` output: a row per assistant turn with ``conv_id``, ``example_no``,
+    ``example`` (all preceding turns and this one, as rendered), ``context_chars`` and ``target``.  The loss
+    mask of an example covers exactly ``target``, which starts after ``context_chars`` code
+    points of it.  Conversations without a reply give no row."""
+    e = formatted.select("conv_id", "formatted", F.explode("examples").alias("e"))
+    chars = F.col("e.context_chars") + F.length("e.target") + F.lit(len(END))
+    return e.select("conv_id", "e.example_no", F.substring("formatted", F.lit(1), chars.cast("int")).alias("example"),
+                    "e.context_chars", "e.target")
+
+
+def under_mask(example: Column, context_chars: Column) -> Column:
+    """What the loss mask of an example covers: what follows its context, without the closing mark."""
+    return F.substring(example, (context_chars + 1).cast("int"), (F.length(example) - context_chars - F.lit(len(END))).cast("int"))
 
 
 def with_context(formatted: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from itertools import combinations
 import pytest
 from pyarrow import fs as pafs
 
+from pyspark.sql import functions as F
+
 from tessera.llm import chat, urlfilter, warc
 
 SF = "/root/testdata/sf0.001"
@@ -88,6 +90,18 @@ def test_chats_read_back(spark):
     assert chat.format_conversations(df.where("conv_id > 99")).count() == 0
 
 
+def test_examples_hold_their_whole_prefix(spark):
+    rows = [(1, 0, "user", "a<|im_end|>"), (1, 1, "assistant", "b & c"), (1, 2, "user", None), (1, 3, "assistant", ""), (2, 0, "user", "x"), (None, 0, "assistant", "z")]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    whole = {r.conv_id: r.formatted for r in formatted.collect()}
+    found = chat.prefix_targets(formatted).withColumn("masked", chat.under_mask(F.col("example"), F.col("context_chars"))).collect()
+    assert sorted((r.conv_id or 0, r.example_no, r.masked) for r in found) == [(0, 1, "z"), (1, 1, "b &amp; c"), (1, 2, "")]
+    for r in found:
+        assert whole[r.conv_id].startswith(r.example) and r.example.endswith(r.target + chat.END) and r.masked == r.target
+        assert r.example[:r.context_chars].endswith("<|im_start|>assistant\n")
+    assert max(len(r.example) for r in found) == len(whole[1])
+
+
 def brute_url(u):
     m = re.search(r"://([^/?#]*)([^?#]*)", u or "")
     host, path = (m[1], m[2]) if m else ("", "")
