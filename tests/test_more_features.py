@@ -126,3 +126,27 @@ def test_scalers(spark):
     assert s["robust"]["gaps"] == (2.5, 1.5)
     out = ml.scale(df, s).orderBy("a").collect()
     assert [r.robust_a for r in out] == [-1.0, -0.5, 0.0, 0.5, 1.0] and out[0].standard_gaps is None
+
+
+def test_terms_are_counted_where_texts_are_dealt(spark, tmp_path):
+    """A table of many files: documents with equal and null ids count as one, and only texts are shuffled."""
+    rows = [(i // 2 if i < 8 else None, "de", f"alpha beta alpha gamma{i % 3}") for i in range(10)] + [(50, "en", None), (51, None, "")]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(6).write.parquet(f"{tmp_path}/d")
+    terms = tx.doc_terms(spark.read.parquet(f"{tmp_path}/d"), "doc_id", "text", (1, 2), keep=["lang"])
+    want = {}
+    for i, lang, text in rows:
+        w = (text or "").split()
+        for n, t in [(1, x) for x in w] + [(2, " ".join(p)) for p in zip(w, w[1:])]:
+            want[(i, lang, n, t)] = want.get((i, lang, n, t), 0) + 1
+    assert {(r.doc_id, r.lang, r.n, r.term): r.tf for r in terms.collect()} == want
+    plan = terms._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_permuted_columns_pair_rows_once(spark):
+    d = spark.createDataFrame([(i, float(i), -float(i)) for i in range(50)], "k long, a double, b double")
+    got = {r.k: (r.other_a, r.other_b) for r in ml.permuted_columns(d, "k", ["a", "b"]).collect()}
+    assert sorted(a for a, _ in got.values()) == [float(i) for i in range(50)] and all(a == -b for a, b in got.values())
+    for c, at in (("a", 0), ("b", 1)):
+        assert {r.k: r[c] for r in ml.permuted_column(d, "k", c).collect()} == {k: v[at] for k, v in got.items()}
