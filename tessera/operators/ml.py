@@ -6,15 +6,16 @@ binned evaluator shortcuts.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, PCA, RobustScaler, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import sequence_index, stable_hash
@@ -153,19 +154,27 @@ def out_of_fold(df: DataFrame, estimator, fold_col: str, k: int, keep: Sequence[
     return out
 
 
+def predicted(df: DataFrame, models: Mapping[str, Model]) -> DataFrame:
+    """``df`` with every model's prediction in the column of its name, in one pass over the rows."""
+    for name, model in models.items():
+        df = model.transform(df, {model.predictionCol: name})
+    return df
+
+
 def out_of_fold_with_test(df: DataFrame, test: DataFrame, estimator, fold_col: str, k: int, keep: Sequence[str],
                           keep_test: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Held-out predictions for every row of ``df``, and for every row of ``test`` the mean
-    prediction of the k fold models (``keep_test`` must identify a test row)."""
-    parts, tests = [], []
-    for i in range(k):
-        model = estimator.fit(df.filter(F.col(fold_col) != i))
-        parts.append(model.transform(df.filter(F.col(fold_col) == i)).select(*keep, "prediction"))
-        tests.append(model.transform(test).select(*keep_test, "prediction"))
-    oof, held = parts[0], tests[0]
-    for p, t in zip(parts[1:], tests[1:]):
-        oof, held = oof.unionByName(p), held.unionByName(t)
-    return oof, held.groupBy(*keep_test).agg(F.avg("prediction").alias("prediction"))
+    prediction of the k fold models (``keep_test`` must identify a test row).
+
+    ``estimator`` is one estimator (column ``prediction``) or a mapping of column names to estimators.  All
+    models of a fold score a row where it is, and so do those of all folds for a test row: nothing is
+    joined or grouped."""
+    named = estimator if isinstance(estimator, Mapping) else {"prediction": estimator}
+    folds = [{name: est.fit(df.filter(F.col(fold_col) != i)) for name, est in named.items()} for i in range(k)]
+    parts = [predicted(df.filter(F.col(fold_col) == i), models).select(*keep, *named) for i, models in enumerate(folds)]
+    held = predicted(test, {f"_{name}_{i}": m for i, models in enumerate(folds) for name, m in models.items()})
+    mean = [(reduce(Column.__add__, [F.col(f"_{name}_{i}") for i in range(k)]) / k).alias(name) for name in named]
+    return reduce(DataFrame.unionByName, parts), held.select(*keep_test, *mean)
 
 
 def top_classes(prob_col: str, labels: Sequence[str], k: int = 3):

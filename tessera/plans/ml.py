@@ -129,7 +129,7 @@ _REGRESSORS = ("linear", "ridge", "lasso", "elastic_net", "random_forest", "gbt"
 
 def price_metrics(spark, sf):
     """Rows per split, and per regressor the metrics of its test rows."""
-    d = materialize(_price_table(spark, sf))
+    d = materialize(_price_table(spark, sf).select("rid", "split", "y_log", "features"))
     n = _counts(d)
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
     staged = train.withColumn("is_val", F.col("rid") % 5 == 0)
@@ -140,11 +140,12 @@ def price_metrics(spark, sf):
               "random_forest": RandomForestRegressor(labelCol="y_log", numTrees=20, maxDepth=8, seed=42),
               "gbt": GBTRegressor(labelCol="y_log", maxIter=20, maxDepth=5, seed=42, validationTol=0.001,
                                   validationIndicatorCol="is_val")}
-    found = {}
-    for name, est in models.items():
-        pred = est.fit(staged).transform(test)
-        found[name] = ev.regression_metrics(pred, "y_log", "prediction").first()
-    return n, found
+    # All models score a test row in one pass, and one aggregation measures them.
+    scored = ml.predicted(test, {f"p_{name}": est.fit(staged) for name, est in models.items()})
+    each = F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"p_{name}").alias("prediction")) for name in models])
+    rows = ev.regression_metrics(scored.select("y_log", F.inline(each)), "y_log", "prediction", group_cols=["model"]).collect()
+    found = {r.model: r for r in rows}  # one row per model
+    return n, {name: found[name] for name in models if name in found}
 
 
 @query("ml_price_metrics", None)
@@ -275,18 +276,14 @@ _STACK = ("lin", "ridge", "rf")
 def oof_table(spark, sf, k: int = 3):
     """(rid, fold, y_log, p_<model> ...) for the training rows, and per model the mean of its
     fold models' predictions for the test rows."""
-    d = _price_table(spark, sf)
+    d = _price_table(spark, sf).select("rid", "split", "y_log", "features")
     train = materialize(ml.fold_column(d.filter(F.col("split") == "train"), None, "rid", k))
     test = materialize(d.filter(F.col("split") == "test"))
     base = {"lin": LinearRegression(labelCol="y_log"),
             "ridge": LinearRegression(labelCol="y_log", regParam=0.1, elasticNetParam=0.0),
             "rf": RandomForestRegressor(labelCol="y_log", numTrees=15, maxDepth=6, seed=1)}
-    oof, held = None, None
-    for name, est in base.items():
-        o, t = ml.out_of_fold_with_test(train, test, est, "fold", k, ["rid", "fold", "y_log"], ["rid", "y_log"])
-        o, t = (x.withColumnRenamed("prediction", f"p_{name}") for x in (o, t))
-        oof = o if oof is None else oof.join(o.select("rid", f"p_{name}"), "rid")
-        held = t if held is None else held.join(t.select("rid", f"p_{name}"), "rid")
+    oof, held = ml.out_of_fold_with_test(train, test, {f"p_{name}": est for name, est in base.items()}, "fold", k,
+                                         ["rid", "fold", "y_log"], ["rid", "y_log"])
     return materialize(oof), materialize(held)
 
 
