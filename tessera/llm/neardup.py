@@ -14,11 +14,15 @@ limit are linked, and components of links are groups.
    all members: edges grow with the members, not with their square, and a group of thousands
    of copies of one text falls into one component at once.
 4. Small nodes, and what is left of large ones, are compared exhaustively on signatures: every
-   pair of different components that share a node.  A large node is dealt out in blocks of
-   members.  One round reports pairs that are almost surely links (one of them stands for the
-   others between the same two components of a node); a second one reports every pair that
-   is left, in the first node that it shares.
-5. Links are confirmed on full sets; components by alternating large and small stars.
+   pair of different components that share a node, whose stars have not tried it.  A large node
+   is dealt out in blocks of members.  A node reports members that have such a pair, not pairs: rows
+   grow with the members of a group, however many of its pairs are close to the limit.
+5. Links are confirmed on full sets: a star's pair by pair, the reported members' once for all nodes
+   with the same main component, block by block, with one link for each two components that meet.
+   Components by alternating large and small stars.
+
+Sets and signatures are looked up through a bitmap of the ids asked for, so texts and vertices that no
+one asks for are not shuffled.
 
 A pair with similarity s stays together down to level k of a tree with probability
 1 - q(k), q(0) = 0, q(i) = .75 (1 - s + s q) + .25 (1 - s + s q)**2; ``recall`` gives the chance
@@ -27,7 +31,7 @@ that at least one of the trees keeps it (at s = 0.8, 5 levels and 16 trees: 0.99
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +49,11 @@ SIG_BYTES = 2 * TREE_COORDS + COORDS - TREE_COORDS
 #: Deviations below the limit at which a pair's share of agreeing coordinates rules it out (one
 #: pair in 4,000 at the limit itself), and above it at which the pair counts as almost sure.
 DEVIATIONS = 3.5
-#: Members of a node that one task compares exhaustively.
+#: Members of a node that one task compares exhaustively, and shingles of these where it holds full sets.
 NODE_BLOCK = 1024
+NODE_SHINGLES = 1 << 20
+#: Bits of the map of ids asked for (1 MB), in words that Spark's bitmap functions use.
+ID_BITS, ID_WORD = 1 << 23, 1 << 15
 STAR_BLOCKS = 32
 _WORDS = RangeHasher(17, lower=True)
 _U = np.uint64
@@ -170,9 +177,35 @@ def tree_nodes(vertices: DataFrame, depth: int, kind: str) -> DataFrame:
     return vertices.select("id", "n", "sig").mapInArrow(run, f"node long, id {kind}, n long")
 
 
+def asked_for(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``id`` is among ``ids``, and a few others: ids are marked in a bitmap of
+    fixed size, which travels to the rows, so the others need not be shuffled to be told apart."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
+    marks = ids.select(slot.alias("_at")).groupBy(F.floor(F.col("_at") / ID_WORD).alias("_word")).agg(
+        F.bitmap_construct_agg(F.col("_at") % ID_WORD).alias("_bits"))
+    byte = F.expr(f"cast(conv(hex(substring(_bits, cast(_at % {ID_WORD} div 8 as int) + 1, 1)), 16, 10) as int)")
+    return (df.withColumn("_at", slot).withColumn("_word", F.floor(F.col("_at") / ID_WORD)).join(F.broadcast(marks), "_word")
+            .where(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1).select(*df.columns))
+
+
+def full_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, k: int, kind: str) -> DataFrame:
+    """``id, set`` (squeezed) of every document row asked for by ``ids``, and of a few others."""
+    set_schema = pa.schema([pa.field("id", _arrow_type(docs, key)), ("set", pa.binary())])
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingle_sets(TextBuf(part.column(1)), k)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([squeeze(s, True) for s in sets], pa.binary())], schema=set_schema)
+
+    texts = asked_for(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), ids)
+    return stored(texts.mapInArrow(to_sets, f"id {kind}, set binary"), "neardup-sets")
+
+
 def likely(pairs: DataFrame, vertices: DataFrame, least: float, kind: str) -> DataFrame:
     """Pairs ``a, b`` whose signatures agree in a share ``least`` of coordinates."""
-    sig = vertices.select("id", "sig")
+    sig = asked_for(vertices.select("id", "sig"), pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
     both = (pairs.join(sig.withColumnsRenamed({"id": "a", "sig": "sa"}), "a")
             .join(sig.withColumnsRenamed({"id": "b", "sig": "sb"}), "b").select("a", "b", "sa", "sb"))
     id_type = _arrow_type(pairs, "a")
@@ -194,19 +227,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, pe
     The set of ``a`` is sent once per block of its partners, that of ``b`` once per pair; only
     documents that occur in a pair are read into sets.
     """
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     id_type = _arrow_type(docs, key)
-    set_schema = pa.schema([pa.field("id", id_type), ("set", pa.binary())])
-
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                sets = shingle_sets(TextBuf(part.column(1)), k)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([squeeze(s, True) for s in sets], pa.binary())], schema=set_schema)
-
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ends, "id", "left_semi")
-    sets = stored(texts.select("id", "text").mapInArrow(to_sets, f"id {kind}, set binary"), "neardup-sets")
+    sets = full_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), key, text, k, kind)
     dealt = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(STAR_BLOCKS)))
     heads = (dealt.select("a", "block").distinct().join(sets.withColumnRenamed("id", "a"), "a")
              .select("a", "block", F.lit(None).cast(kind).alias("b"), "set", F.lit(0).alias("turn")))
@@ -266,50 +288,74 @@ def star_pairs(nodes: DataFrame, ratio: float) -> DataFrame:
             .select("a", "b").distinct())
 
 
-def mixed_pairs(nodes: DataFrame, labels: DataFrame, vertices: DataFrame, percent: int, depth: int,
-                kind: str, joining: bool) -> DataFrame:
-    """Pairs of different components that share a node and may be similar enough: all of them,
-    or with ``joining`` almost sure links, as many as join the components of a node.
+def in_blocks(rows: DataFrame, place: str, heavy: bool) -> DataFrame:
+    """``rows`` (``place, id, n, label, is_main``) dealt by ``place, what, x, y``: each member of a place meets
+    all members of other labels.
+
+    The members of the main label need not meet each other, the others meet all; both are dealt into
+    blocks of about ``NODE_BLOCK`` members (and, if ``heavy``, ``NODE_SHINGLES`` shingles), and a task holds two
+    blocks at most.
+    """
+    of = lambda main, x: F.coalesce(F.sum(F.when(F.col("is_main") == main, x)), F.lit(0))
+    sizes = rows.groupBy(place).agg(*[of(main, x).alias(name) for name, main, x in (
+        ("c_main", True, F.lit(1)), ("c_rest", False, F.lit(1)), ("w_main", True, F.col("n")), ("w_rest", False, F.col("n")))])
+    blocks = lambda c, w: F.greatest(F.lit(1), F.ceil(c / F.lit(NODE_BLOCK)), F.ceil(
+        (w if heavy else F.lit(0)) / F.lit(NODE_SHINGLES))).cast("int")
+    n_main, n_rest = blocks(F.col("c_main"), F.col("w_main")), blocks(F.col("c_rest"), F.col("w_rest"))
+    small = blocks(F.col("c_main") + F.col("c_rest"), F.col("w_main") + F.col("w_rest")) == 1
+    mine = F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), n_main).otherwise(n_rest).cast("long")).cast("int")
+    count_up = lambda n: F.sequence(F.lit(0), n - 1)
+    put = lambda x, y, what: F.struct(F.lit(what).alias("what"), x.alias("x"), y.alias("y"))
+    puts = F.when(small, F.array(put(F.lit(0), F.lit(0), 0))).when(
+        F.col("is_main"), F.transform(count_up(n_rest), lambda j: put(F.col("mine"), j, 1))).otherwise(F.concat(
+            F.transform(count_up(n_main), lambda i: put(i, F.col("mine"), 1)),
+            F.transform(count_up(n_rest), lambda j: put(F.least(j, F.col("mine")), F.greatest(j, F.col("mine")), 2))))
+    return (rows.join(sizes, place).withColumn("mine", mine).select(*rows.columns, F.explode(puts).alias("p"))
+            .select(*rows.columns, "p.what", "p.x", "p.y"))
+
+
+def by_block(compared: Callable[[list[dict]], Iterator[tuple]], place: str) -> Callable[[Iterator[dict]], Iterator[tuple]]:
+    """Collects the sorted rows of each block and hands them to ``compared``."""
+
+    def run(rows: Iterator[dict]) -> Iterator[tuple]:
+        at, group = None, []
+        for row in rows:
+            here = (row[place], row["what"], row["x"], row["y"])
+            if here != at:
+                yield from compared(group) if len(group) > 1 else ()
+                at, group = here, []
+            group.append(row)
+        yield from compared(group) if len(group) > 1 else ()
+
+    return run
+
 
-    A node whose members are in one component needs no more work.  In the others, members
-    outside the node's largest component meet all members; both are dealt into blocks of
-    about ``NODE_BLOCK``, so a task compares two blocks at most, on signatures, and only pairs
-    that pass are returned.
+def met_members(nodes: DataFrame, labels: DataFrame, vertices: DataFrame, percent: int, kind: str) -> DataFrame:
+    """``main, id, n, label`` of members that share a node with a member of another component whose signature
+    says that they may be similar enough; ``main`` is the node's largest component.
+
+    A node whose members are in one component needs no more work, nor does one of two members:
+    they were a star.
     """
     labelled = (nodes.join(labels, "id", "left")
-                .select("node", "id", "n", F.coalesce("component", "id").alias("label")))
+                .select("node", "id", "n", "size", F.coalesce("component", "id").alias("label")).where("size > 2"))
     per_label = labelled.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"))
     per_node = per_label.groupBy("node").agg(
-        F.sum("c").alias("total"), F.count(F.lit(1)).alias("labels"),
-        F.max_by("label", F.struct("c", "label")).alias("main"), F.max("c").alias("main_count")).where("labels > 1")
-    rows = labelled.join(per_node, "node")
-    blocks = lambda c: F.ceil(c / F.lit(NODE_BLOCK)).cast("int")
-    is_main = F.col("label") == F.col("main")
-    small = F.col("total") <= NODE_BLOCK
-    n_main, n_rest = blocks(F.col("main_count")), blocks(F.col("total") - F.col("main_count"))
-    mine = F.when(is_main, F.pmod(F.xxhash64("id"), n_main.cast("long"))).otherwise(
-        F.pmod(F.xxhash64("id"), n_rest.cast("long"))).cast("int")
-    count_up = lambda n: F.sequence(F.lit(0), n - 1)
-    place = lambda x, y, what: F.struct(F.lit(what).alias("what"), x.alias("x"), y.alias("y"))
-    places = F.when(small, F.array(place(F.lit(0), F.lit(0), 0))).when(
-        is_main, F.transform(count_up(n_rest), lambda j: place(F.col("mine"), j, 1))).otherwise(F.concat(
-            F.transform(count_up(n_main), lambda i: place(i, F.col("mine"), 1)),
-            F.transform(count_up(n_rest), lambda j: place(F.least(j, F.col("mine")), F.greatest(j, F.col("mine")), 2))))
-    dealt = (rows.withColumn("mine", mine)
-             .select("node", "id", "n", "label", F.explode(places).alias("p"))
-             .select("node", "p.what", "p.x", "p.y", "id", "n", "label")
-             .join(vertices.select("id", "sig"), "id"))
+        F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("c", "label")).alias("main")).where("labels > 1")
+    rows = labelled.join(per_node.select("node", "main"), "node").select(
+        "node", "id", "n", "label", "main", (F.col("label") == F.col("main")).alias("is_main"))
+    sig = asked_for(vertices.select("id", "sig"), rows.select("id"))
+    dealt = in_blocks(rows, "node", False).drop("is_main").join(sig, "id")
     id_type = _arrow_type(vertices, "id")
-    schema = pa.schema([pa.field("a", id_type), pa.field("b", id_type)])
-    limit = percent / 100 + (1 if joining else -1) * DEVIATIONS * deviation(percent, COORDS)
-    least = limit * COORDS
-    rough = (min(limit, percent / 100) - 5 * deviation(percent, TREE_COORDS)) * TREE_COORDS
+    schema = pa.schema([pa.field("main", id_type), pa.field("id", id_type), ("n", pa.int64()), pa.field("label", id_type)])
+    limit = percent / 100 - DEVIATIONS * deviation(percent, COORDS)
+    least, rough = limit * COORDS, (limit - 5 * deviation(percent, TREE_COORDS)) * TREE_COORDS
 
     def compared(group: list[dict]) -> Iterator[tuple]:
         wide, narrow = split_signatures([r["sig"] for r in group])
         n = np.array([r["n"] for r in group])
         _, label = np.unique([r["label"] for r in group], return_inverse=True)
-        found = []
+        met = np.zeros(len(group), bool)
         for i in range(len(group) - 1):
             rest = n[i + 1:]
             other = i + 1 + np.flatnonzero((label[i + 1:] != label[i])
@@ -319,50 +365,60 @@ def mixed_pairs(nodes: DataFrame, labels: DataFrame, vertices: DataFrame, percen
                 other, agree = other[agree >= rough], agree[agree >= rough]
             if len(other):
                 agree = agree + (narrow[other] == narrow[i]).sum(axis=1)
-                found += [(-int(c), i, j) for c, j in zip(agree[agree >= least], other[agree >= least].tolist())]
-        if not found:
-            return
-        if joining:
-            parent = list(range(int(label.max()) + 1))
-
-            def root(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
-            for _, i, j in sorted(found):
-                x, y = root(label[i]), root(label[j])
-                if x != y:
-                    parent[x] = y
-                    yield tuple(sorted((group[i]["id"], group[j]["id"])))
-            return
-        met = sorted({k for _, i, j in found for k in (i, j)})
-        row, node = chosen_paths(wide[met], depth)
-        row, node = row[node < here_of(group)], node[node < here_of(group)]
-        order = np.argsort(row, kind="stable")
-        cuts = np.searchsorted(row[order], np.arange(len(met) + 1))
-        earlier = {k: frozenset(node[order[cuts[r]:cuts[r + 1]]].tolist()) for r, k in enumerate(met)}
-        for _, i, j in found:
-            if earlier[i].isdisjoint(earlier[j]):  # this is the first node that both reach
-                yield tuple(sorted((group[i]["id"], group[j]["id"])))
-
-    def run(rows: Iterator[dict]) -> Iterator[tuple]:
-        at, group = None, []
-        for row in rows:
-            place = (row["node"], row["what"], row["x"], row["y"])
-            if place != at:
-                yield from compared(group) if len(group) > 1 else ()
-                at, group = place, []
-            group.append(row)
-        yield from compared(group) if len(group) > 1 else ()
+                other = other[agree >= least]
+                met[other] = True
+                met[i] |= len(other) > 0
+        for i in np.flatnonzero(met).tolist():
+            yield tuple(group[i][c] for c in ("main", "id", "n", "label"))
 
     order = ["node", "what", "x", "y"]
-    return streamed(dealt, order, order, run, f"a {kind}, b {kind}", schema, 5000).distinct()
+    return streamed(dealt, order, order, by_block(compared, "node"),
+                    f"main {kind}, id {kind}, n long, label {kind}", schema, 5000).distinct()
+
+
+def links_between(met: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int, kind: str) -> DataFrame:
+    """Links ``a, b`` between the components of ``met``: in each block, as many as join those that have
+    members with 100 * intersection >= percent * union of the full sets."""
+    sets = full_sets(docs, met.select("id"), key, text, k, kind)
+    rows = met.withColumn("is_main", F.col("label") == F.col("main"))
+    dealt = in_blocks(rows, "main", True).drop("n").join(sets, "id")
+    id_type = _arrow_type(docs, key)
+    schema = pa.schema([pa.field("a", id_type), pa.field("b", id_type)])
 
+    def compared(group: list[dict]) -> Iterator[tuple]:
+        sets = [unsqueeze(r["set"]) for r in group]
+        n = np.array([len(s) for s in sets])
+        ends = np.cumsum(n)
+        owner = np.repeat(np.arange(len(group)), n)
+        _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        holders, first = owner[np.argsort(token, kind="stable")], np.cumsum(count) - count
+        _, label = np.unique([r["label"] for r in group], return_inverse=True)
+        parent = list(range(int(label.max()) + 1))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for i, r in enumerate(group):
+            if r["is_main"]:
+                continue
+            mine = token[ends[i] - n[i]:ends[i]]
+            common = np.zeros(len(group), np.int64)
+            for part in np.array_split(mine, len(mine) * len(group) // (1 << 20) + 1):
+                many = count[part]
+                at = np.arange(many.sum()) + np.repeat(first[part] - (np.cumsum(many) - many), many)
+                common += np.bincount(holders[at], minlength=len(group))
+            linked = (label != label[i]) & (100 * common >= percent * (n + n[i] - common))
+            for j in np.flatnonzero(linked).tolist():
+                x, y = root(label[i]), root(label[j])
+                if x != y:
+                    parent[x] = y
+                    yield r["id"], group[j]["id"]
 
-def here_of(group: list[dict]) -> np.uint64:
-    return np.int64(group[0]["node"]).view(np.uint64)
+    order = ["main", "what", "x", "y"]
+    return streamed(dealt, order, order, by_block(compared, "main"), f"a {kind}, b {kind}", schema, 5000)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
@@ -389,13 +445,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     stars = stored(likely(star_pairs(nodes, ratio), vertices, least, kind), "neardup-stars")
     links = stored(confirmed(stars, docs, key, text, shingle, percent, kind), "neardup-links")
     groups = components(links)
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for joining in (True, False):
-        mixed = mixed_pairs(nodes, groups, vertices, percent, depth, kind, joining)
-        more = stored(mixed.join(tried, ["a", "b"], "left_anti"), "neardup-more")
-        links = stored(links.unionByName(confirmed(more, docs, key, text, shingle, percent, kind)), "neardup-links")
-        groups = components(links)
-        tried = tried.unionByName(more)
+    met = stored(met_members(nodes, groups, vertices, percent, kind), "neardup-met")
+    links = stored(links.unionByName(links_between(met, docs, key, text, shingle, percent, kind)), "neardup-links")
+    groups = components(links)
     named = (classes.select("hi", "lo", "id").join(groups, "id", "left")
              .select("hi", "lo", F.coalesce("component", "id").alias("component")))
     out = rows.select("id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")

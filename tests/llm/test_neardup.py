@@ -115,6 +115,39 @@ def test_large_nodes_are_dealt_in_blocks(spark, monkeypatch):
     assert got(df, shingle=2) == brute(rows_of(df), 2)
 
 
+@pytest.mark.parametrize("shingles_held", [1 << 20, 3000])
+def test_rows_grow_with_members_not_with_pairs(spark, monkeypatch, shingles_held):
+    """A group with 40 texts just below the limit to each of its 120 members: 4,800 pairs to refute."""
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 7))
+    base, rows = [word() for _ in range(400)], []
+    for changed in [8] * 120 + [18] * 40:
+        copy = list(base)
+        for at in rng.choice(len(copy), changed, replace=False):
+            copy[at] = word()
+        rows.append((len(rows), " ".join(copy)))
+    real, made = neardup.stored, {}
+
+    def counted(df, name):
+        out = real(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    monkeypatch.setattr(neardup, "NODE_SHINGLES", shingles_held, raising=False)
+    want = brute(rows, 2)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2) == want
+    assert sum(1 for x in want if x[3]) > 20
+    assert max(n for name, n in made.items() if name != "neardup-nodes") <= 4 * len(rows)
+
+
+def test_ids_asked_for(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("x"))
+    found = neardup.asked_for(df, df.where("id % 7 = 0").select("id"))
+    assert found.columns == df.columns and found.where("id % 7 = 0").count() == 2858 <= found.count() < 3000
+    assert neardup.asked_for(df, df.where("false").select("id")).count() == 0
+
+
 def test_one_row_of_each_group_stays(spark, documents, tricky, nothing):
     docs = documents.limit(60).withColumn("copy", F.lit(0))
     once = Counter(r.text for r in neardup.keep_one(docs).collect())
