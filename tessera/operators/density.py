@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, spread_out
+from ..session import spread_out, written
 from .graph import connected_components
 from .ordering import sequence_index_sized
 from .tree import distance, farthest, nearest, usable
@@ -87,12 +87,12 @@ def _joined_cells(core: DataFrame, cells: DataFrame, pairs: DataFrame, eps: floa
                  .withColumn("all", farthest(*box, dims) <= eps)
                  .withColumn("listed", F.col("pts_a").isNotNull() & F.col("pts_b").isNotNull()))
         some = F.exists("pts_a", lambda x: F.exists("pts_b", lambda y: distance(x, y, dims) <= eps))
-        asked = materialize(asked.select("a", "b", "pa", "pb", "listed",
+        asked = written(asked.select("a", "b", "pa", "pb", "listed",
                                          (F.col("all") | F.when(F.col("listed"), some).otherwise(F.lit(False))).alias("yes")))
         found = asked.where("yes").select("a", "b").distinct()
         joined = found if joined is None else joined.unionByName(found)
         left = asked.where("not yes and not listed").select("a", "b", "pa", "pb").join(found, ["a", "b"], "left_anti")
-        left = materialize(left)
+        left = written(left)
         if left.isEmpty():
             return joined
         # Halve the nodes still in question, each along its widest side.
@@ -101,8 +101,8 @@ def _joined_cells(core: DataFrame, cells: DataFrame, pairs: DataFrame, eps: floa
         widest = F.array_position(width, F.array_max(width)).cast("int")
         open_points = points.join(nodes.join(ask, ["cell", "path"]).select("cell", "path", widest.alias("axis")), ["cell", "path"])
         cut = sequence_index_sized(open_points.withColumn("x", F.element_at("v", F.col("axis"))).drop("axis"), ["x", "id"], ["cell", "path"], "pos", "size")
-        points = materialize(cut.select("id", "v", "cell", (F.col("path") * 2 + (F.col("pos") * 2 > F.col("size")).cast("int")).alias("path")))
-        nodes = materialize(_box(points, ["cell", "path"], dims))
+        points = written(cut.select("id", "v", "cell", (F.col("path") * 2 + (F.col("pos") * 2 > F.col("size")).cast("int")).alias("path")))
+        nodes = written(_box(points, ["cell", "path"], dims))
         child = lambda s: nodes.select(F.col("cell").alias(s), F.floor(F.col("path") / 2).alias(f"p{s}"), F.col("path").alias(f"c{s}"))
         pairs = left.join(child("a"), ["a", "pa"]).join(child("b"), ["b", "pb"]).select("a", "b", F.col("ca").alias("pa"), F.col("cb").alias("pb"))
 
@@ -121,18 +121,18 @@ def dbscan(df: DataFrame, id_col: str, vec: str, eps: float, min_samples: int) -
     side = eps / math.sqrt(dims) * (1 - 1e-9)  # so that rounding keeps a cell's points within eps
     if head["far"] / side >= 2.0 ** 53:
         raise ValueError("eps is too small beside the coordinates")
-    points = materialize(p.withColumn("cell", F.transform("v", lambda x: F.floor(x / side))))
-    cells = materialize(_box(points, ["cell"], dims))
-    pairs = materialize(_neighbour_cells(cells, dims, eps))
+    points = written(p.withColumn("cell", F.transform("v", lambda x: F.floor(x / side))))
+    cells = written(_box(points, ["cell"], dims))
+    pairs = written(_neighbour_cells(cells, dims, eps))
 
     sparse = points.join(cells.where(F.col("n") < min_samples).select("cell"), "cell")
     whole, single = _near_points(sparse, pairs, cells, points, eps, dims, ("n",))
     counts = whole.select("id", "n").unionByName(single.select("id", F.lit(1).cast("long").alias("n"))).groupBy("id").agg(F.sum("n").alias("n"))
-    enough = materialize(counts.where(F.col("n") >= min_samples).select("id"))
-    core = materialize(points.join(cells.where(F.col("n") >= min_samples).select("cell"), "cell").select("id", "v", "cell")
+    enough = written(counts.where(F.col("n") >= min_samples).select("id"))
+    core = written(points.join(cells.where(F.col("n") >= min_samples).select("cell"), "cell").select("id", "v", "cell")
                        .unionByName(sparse.join(enough, "id").select("id", "v", "cell")))
 
-    core_cells = materialize(_box(core, ["cell"], dims))
+    core_cells = written(_box(core, ["cell"], dims))
     is_core = core_cells.select("cell")
     between = pairs.join(is_core.withColumnRenamed("cell", "a"), "a").join(is_core.withColumnRenamed("cell", "b"), "b")
     edges = _joined_cells(core, core_cells, between, eps, dims)
@@ -141,7 +141,7 @@ def dbscan(df: DataFrame, id_col: str, vec: str, eps: float, min_samples: int) -
              .join(_named(first, "b", "cell", "first_id").withColumnRenamed("cell_b", "b"), "b").select("first_id_a", "first_id_b"))
     loops = first.select(F.col("first_id").alias("first_id_a"), F.col("first_id").alias("first_id_b"))
     comp = connected_components(edges.union(loops), "first_id_a", "first_id_b")
-    cluster = materialize(core_cells.join(comp.withColumnRenamed("id", "first_id"), "first_id").select("cell", "lo", "hi", F.col("component").alias("cluster")))
+    cluster = written(core_cells.join(comp.withColumnRenamed("id", "first_id"), "first_id").select("cell", "lo", "hi", F.col("component").alias("cluster")))
 
     outer = sparse.join(enough, "id", "left_anti")
     whole, single = _near_points(outer, pairs, cluster, core, eps, dims, ("cluster",))

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import written
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,8 +17,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull())
-    loops = materialize(e.where("u = v").select(F.col("u").alias("id")).distinct())
-    e = materialize(e.where("u <> v").distinct())
+    loops = written(e.where("u = v").select(F.col("u").alias("id")).distinct())
+    e = written(e.where("u <> v").distinct())
     seen = None
     while True:
         both = e.union(e.select("v", "u"))
@@ -26,7 +26,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.where("m < u")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        e = materialize(large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = written(large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .union(low).distinct())
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
