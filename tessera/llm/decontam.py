@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored, with_extra
-from .textbuf import ALNUM, RangeHasher, TextBuf, doc_of, mix64, slices
+from .textbuf import ALNUM, RangeHasher, TextBuf, doc_of, lean, mix64, slices
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
@@ -293,7 +293,7 @@ def _match(docs: DataFrame, automaton: SuffixAutomaton, key: str, text: str, kee
                     + [pa.array(np.diff(firsts), pa.int64()), pa.array(spans, pa.list_(SPAN)),
                        pa.array(hit, pa.int64()), pa.array(names, pa.list_(pa.string()))], names=names_out)
 
-    return docs.select(*cols).mapInArrow(run, ddl)
+    return docs.select(*cols).mapInArrow(lean(run), ddl)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",

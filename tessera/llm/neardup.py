@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .exchange import squeeze, streamed, unsqueeze
 from .packing import _arrow_type
 from .shared import stored
-from .textbuf import RangeHasher, TextBuf, give_back, mix64, slices
+from .textbuf import RangeHasher, TextBuf, lean, mix64, slices
 
 #: Minwise tokens: the first ``TREE_COORDS`` keep 16 bits and grow the trees, the others 8.
 COORDS, TREE_COORDS, TREES = 512, 128, 16
@@ -154,11 +154,10 @@ def signatures_of(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(hi, pa.int64()),
                      pa.array(lo, pa.int64()),
                      pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())], schema=schema)
-        give_back()
 
     kind = dict(docs.dtypes)[key]
     return docs.select(F.col(key).alias("id"), F.col(text).alias(text)).mapInArrow(
-        run, f"id {kind}, n_shingles long, hi long, lo long, sig binary")
+        lean(run), f"id {kind}, n_shingles long, hi long, lo long, sig binary")
 
 
 def tree_nodes(vertices: DataFrame, depth: int, kind: str) -> DataFrame:
@@ -174,7 +173,7 @@ def tree_nodes(vertices: DataFrame, depth: int, kind: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node.view(np.int64)), part.column(0).take(take), part.column(1).take(take)], schema=schema)
 
-    return vertices.select("id", "n", "sig").mapInArrow(run, f"node long, id {kind}, n long")
+    return vertices.select("id", "n", "sig").mapInArrow(lean(run), f"node long, id {kind}, n long")
 
 
 def asked_for(df: DataFrame, ids: DataFrame) -> DataFrame:
@@ -200,7 +199,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, k: int, kind
                     [part.column(0), pa.array([squeeze(s, True) for s in sets], pa.binary())], schema=set_schema)
 
     texts = asked_for(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), ids)
-    return stored(texts.mapInArrow(to_sets, f"id {kind}, set binary"), "neardup-sets")
+    return stored(texts.mapInArrow(lean(to_sets), f"id {kind}, set binary"), "neardup-sets")
 
 
 def likely(pairs: DataFrame, vertices: DataFrame, least: float, kind: str) -> DataFrame:
@@ -218,7 +217,7 @@ def likely(pairs: DataFrame, vertices: DataFrame, least: float, kind: str) -> Da
                 ok = pa.array((x == y).sum(axis=1) + (p == q).sum(axis=1) >= least * COORDS)
                 yield pa.RecordBatch.from_arrays(batch.columns[:2], schema=schema).filter(ok)
 
-    return both.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return both.mapInArrow(lean(run), f"a {kind}, b {kind}").distinct()
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, percent: int, kind: str) -> DataFrame:

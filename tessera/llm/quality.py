@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import with_extra
-from .textbuf import NOT_SPACE, TextBuf, doc_of, give_back, mix64, segment_sums, slices
+from .textbuf import NOT_SPACE, TextBuf, doc_of, lean, mix64, segment_sums, slices
 from .wordtok import drop, piece_tokenizer, rank_tokenizer, word_hashes
 
 
@@ -216,10 +216,8 @@ def quality_rules(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path
                 yield pa.RecordBatch.from_arrays(
                     [col[c] for c in carried] + [pa.array(v, f.type) for v, f in zip(values, fields)], names=schema.names)
         drop(ranks, pieces)
-        del ranks, pieces
-        give_back()
 
-    return docs.select(*[F.col(c) for c in cols]).mapInArrow(run, ddl)
+    return docs.select(*[F.col(c) for c in cols]).mapInArrow(lean(run), ddl)
 
 
 def keep_good(docs: DataFrame, rank_path: str, rank_pattern: str, piece_path: str, key: str = "doc_id",

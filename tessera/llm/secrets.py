@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stored, with_extra
-from .textbuf import TextBuf, slices
+from .textbuf import TextBuf, lean, slices
 
 #: Fixed values of the contract.
 KINDS = ("assign", "access", "hex")
@@ -207,7 +207,7 @@ def scan(docs: DataFrame, key: str, text: str, keep_columns: tuple[str, ...]) ->
                pa.array([random_counts.tolist()], pa.list_(pa.int64())),
                pa.array([ordinary_counts.tolist()], pa.list_(pa.int64()))], names=names)
 
-    return docs.select(*cols).mapInArrow(run, ddl)
+    return docs.select(*cols).mapInArrow(lean(run), ddl)
 
 
 def train(scanned: DataFrame) -> tuple[tuple[np.ndarray, ...], np.ndarray, bool]:
@@ -251,7 +251,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 names=[*carried, "base", "spans"])
 
     ddl = ", ".join([f"`{c}` {types[c]}" for c in carried] + [f"base {SPAN_DDL}", f"spans {SPAN_DDL}"])
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(lean(run), ddl)
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = MARK) -> DataFrame:

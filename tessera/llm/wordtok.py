@@ -61,13 +61,16 @@ class WordCache:
         if self.size > MAX_WORDS:
             self.clear()
         keys = keys.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
+        slots = list(map(self.known.get, keys))
+        new = [i for i, s in enumerate(slots) if s is None]
         if new:
             raw = buf.data.tobytes()
             at = first[new]
+            for i, s in zip(new, range(self.size, self.size + len(new))):
+                slots[i] = s
             self._add([keys[i] for i in new],
                       [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-        slot = np.fromiter((self.known[k] for k in keys), dtype=np.int64, count=len(keys))[inverse]
+        slot = np.array(slots, dtype=np.int64)[inverse]
         lens = self.lens[slot]
         before = np.cumsum(lens) - lens
         where = np.repeat(self.starts[slot] - before, lens) + np.arange(int(lens.sum()))
@@ -136,8 +139,9 @@ def json_tokenizer(path: str) -> WordCache:
             return [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)]
 
         def encode(words: list[str]) -> list[list[int]]:
-            plain = [i for i, w in enumerate(words) if w.isascii() and w.isalpha()]
-            other = [i for i, w in enumerate(words) if not (w.isascii() and w.isalpha())]
+            plain, other = [], []
+            for i, w in enumerate(words):
+                (plain if w.isascii() and w.isalpha() else other).append(i)
             out: list[list[int]] = [[]] * len(words)
             for i, ids in zip(other, one_by_one([words[i] for i in other])):
                 out[i] = ids
