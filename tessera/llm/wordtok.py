@@ -15,7 +15,7 @@ import numpy as np
 
 from .textbuf import RangeHasher, TextBuf
 
-MAX_WORDS = 200_000
+MAX_WORDS = 400_000
 _HASH = RangeHasher(7)
 _CACHES: dict[str, "WordCache"] = {}
 
