@@ -165,3 +165,10 @@ def test_tokens_meet_the_dictionary_where_they_are(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, \d+\), (\w+)", plan)
     assert "BroadcastHashJoin" in plan and set(dealt) == {("doc_id", "REPARTITION_BY_NUM")}
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    import __spark_entry__ as E
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    E._prepare(spark)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
